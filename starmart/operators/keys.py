@@ -39,16 +39,19 @@ def assign_dense_key(df: DataFrame, order: Sequence[str], out: str, staging: Sta
     table has one row per shuffle partition. ``order`` must tell apart all
     rows that differ, so that the numbers do not depend on the partitioning.
 
-    The number of the source partition takes part in the split, after
-    ``order``: a mass of equal rows spreads over many ranges, and it does so the
-    same way when a lost task runs again.
+    The input is staged too, because finding the range bounds reads it once more.
+    The number of the source partition takes part in the split, after ``order``:
+    a mass of equal rows spreads over many ranges, and it does so the same way
+    when a lost task runs again.
     """
     source, slot, ranged = "_source", "_slot", "_range"
+    ascending = [F.col(c).asc_nulls_first() for c in order]
     placed = (
-        df.withColumn(source, F.spark_partition_id())
-        .repartitionByRange(*[F.col(c).asc_nulls_first() for c in order], source)
+        staging.keep(df, f"{out}-input")
+        .withColumn(source, F.spark_partition_id())
+        .repartitionByRange(*ascending, source)
         .drop(source)
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+        .sortWithinPartitions(*ascending)
         .withColumn(slot, F.monotonically_increasing_id())
     )
     placed = staging.keep(placed, out).withColumn(ranged, F.shiftright(slot, _POSITION_BITS))
@@ -58,6 +61,7 @@ def assign_dense_key(df: DataFrame, order: Sequence[str], out: str, staging: Sta
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(ranged, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     )
+    offsets = staging.keep(offsets, f"{out}-offsets")
     position = F.col(slot).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return placed.join(F.broadcast(offsets), ranged).select(
         (F.col("offset") + position + 1).alias(out), *df.columns

@@ -47,9 +47,9 @@ def revenue_per_review(groups: DataFrame) -> DataFrame:
 class Mart:
     """``fact_measures`` need only the fact; ``dimension_measures`` aggregate attributes.
 
-    ``dimension`` is set if its key decides all group columns. Its measures are
-    then the attributes themselves: ``attributes`` maps the output name of each to
-    its column.
+    ``dimension`` is set if its key decides all group columns. A measure of its
+    own attributes is then the attribute itself: ``attributes`` maps the output name
+    of each to its column.
     """
 
     keys: tuple[str, ...]
@@ -59,6 +59,7 @@ class Mart:
     limit: int | None = None
     dimension: str | None = None
     attributes: Mapping[str, str] | None = None
+    borrowed: tuple[str, ...] = ()  # columns of another dimension the measures read
     finish: Callable[[DataFrame], DataFrame] | None = None
 
     def measures(self) -> dict[str, Callable[[], Column]]:
@@ -111,6 +112,7 @@ MARTS = {
         order=(("total_revenue", True), ("total_orders", True)),
         limit=5,
         dimension="dim_suppliers",
+        borrowed=("product_price",),
     ),
     "mart_product_quality": Mart(
         keys=("product_key", "product_name"),
@@ -137,27 +139,52 @@ def sales_mart(enriched: DataFrame, mart: str, limit: bool = True, ordered: bool
     return _present(groups, mart, limit, ordered)
 
 
+def key_groups(fact: DataFrame, *marts: str) -> DataFrame:
+    """One row per dimension key with all fact measures of ``marts``.
+
+    The marts must describe the same dimension. Marts that share a dimension can
+    then share one pass over the fact.
+    """
+    specs = [MARTS[m] for m in marts]
+    (dimension,) = {s.dimension for s in specs}
+    measures = {n: m for s in specs for n, m in s.fact_measures.items()}
+    return fact.groupBy(DIMENSION_KEYS[dimension]).agg(*[m().alias(n) for n, m in measures.items()])
+
+
+def decided_by_key(mart: str) -> bool:
+    """Whether all but the fact measures are attributes of one dimension."""
+    spec = MARTS[mart]
+    return spec.dimension is not None and set(spec.dimension_measures or ()) <= set(spec.attributes or ())
+
+
 def mart_from_star(
-    mart: str, fact: DataFrame, dims: Mapping[str, DataFrame], limit: bool = True, ordered: bool = True
+    mart: str,
+    fact: DataFrame,
+    dims: Mapping[str, DataFrame],
+    limit: bool = True,
+    ordered: bool = True,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """The named mart from star tables; equal to ``sales_mart`` over all of them joined."""
+    """The named mart from star tables; equal to ``sales_mart`` over all of them joined.
+
+    ``groups`` may hold the ``key_groups`` of a mart that is ``decided_by_key``.
+    """
     spec = MARTS[mart]
-    late = spec.attributes or {}
-    early = {n: m for n, m in spec.measures().items() if n not in late}
+    measures = [m().alias(n) for n, m in spec.measures().items()]
     if spec.dimension is None:
-        groups = enrich(fact, dims, [*spec.keys, *_MEASURED], exact=True)
-        groups = groups.groupBy(*spec.keys).agg(*[m().alias(n) for n, m in early.items()])
-        return _present(groups, mart, limit, ordered)
+        rows = enrich(fact, dims, [*spec.keys, *_MEASURED], exact=True)
+        return _present(rows.groupBy(*spec.keys).agg(*measures), mart, limit, ordered)
 
     key = DIMENSION_KEYS[spec.dimension]
-    rows = fact
-    if set(early) & set(spec.dimension_measures or {}):
-        rows = enrich(fact, dims, [key, *_MEASURED, "product_price"], exact=True)
-    groups = rows.groupBy(key).agg(*[m().alias(n) for n, m in early.items()])
+    if decided_by_key(mart):
+        groups = key_groups(fact, mart) if groups is None else groups
+        late, early = dict(spec.attributes or {}), list(spec.fact_measures)
+    else:
+        groups = enrich(fact, dims, [key, *_MEASURED, *spec.borrowed], exact=True).groupBy(key).agg(*measures)
+        late, early = {}, list(spec.measures())
     described = [c for c in spec.keys if c != key]
     columns = dict.fromkeys([p for c in described for p in FULL_NAMES.get(c, (c,))] + list(late.values()))
-    groups = groups.join(dims[spec.dimension].select(key, *columns), key, "left")
-    groups = groups.select(
+    groups = groups.join(dims[spec.dimension].select(key, *columns), key, "left").select(
         *[(full_name(c) if c in FULL_NAMES else F.col(c)).alias(c) for c in spec.keys],
         *early,
         *[F.col(column).alias(name) for name, column in late.items()],

@@ -31,9 +31,12 @@ def run_star_job(
     target: ParquetStore | JdbcStore,
     name_glob: str = SALES_FILES,
     multi_line: bool = True,
+    rejects_to: ParquetStore | None = None,
 ) -> dict[str, int]:
     """CSV files to raw table, star tables and rejects; the rows written per table.
 
+    Rejects go to ``rejects_to``, or beside the star tables if those are files.
+
     The files are parsed once. All parts of the star then read the staged,
     typed records, of which each part scans only its own columns. The star is
     complete and checked in staging before any target table changes.
@@ -48,8 +51,9 @@ def run_star_job(
         written = {RAW_TABLE: target.write(raw, RAW_TABLE, RAW)}
         for name in STAR_TABLES:
             written[name] = target.write(draft.read(name), name, STAR[name])
-        if isinstance(target, ParquetStore):
-            written[REJECTS_TABLE] = target.write(rejects, REJECTS_TABLE, rejects.schema)
+        losses = rejects_to or (target if isinstance(target, ParquetStore) else None)
+        if losses:
+            written[REJECTS_TABLE] = losses.write(rejects, REJECTS_TABLE, rejects.schema)
         return written
     finally:
         staging.drop()
@@ -71,15 +75,15 @@ def run_marts_job(
     spark: SparkSession, star: ParquetStore | JdbcStore, target: ParquetStore | JdbcStore
 ) -> dict[str, int]:
     """Stored star to stored marts. A database is read once, into staging."""
-    if isinstance(star, ParquetStore):
-        return store_marts(star, target)
     staging = Staging(spark)
     try:
-        copy = ParquetStore(spark, f"{staging.root}/star")
-        for name in STAR_TABLES:
-            split = star.key_split(name, STAR[name].names[0], 32)
-            copy.write(star.read(name, STAR[name], split), name, STAR[name])
-        return store_marts(copy, target)
+        if isinstance(star, JdbcStore):
+            copy = ParquetStore(spark, f"{staging.root}/star")
+            for name in STAR_TABLES:
+                split = star.key_split(name, STAR[name].names[0], 32)
+                copy.write(star.read(name, STAR[name], split), name, STAR[name])
+            star = copy
+        return store_marts(star, target, staging)
     finally:
         staging.drop()
 
@@ -89,13 +93,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("job", choices=["star", "marts"])
     parser.add_argument("--source", help="folder of sales files (star) or of star tables (marts)")
     parser.add_argument("--target", help="folder for the tables; a database if left out")
+    parser.add_argument("--rejects", help="folder for values that could not be typed (star)")
     chosen = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"starmart-{chosen.job}").getOrCreate()
     try:
         if chosen.job == "star":
             target = ParquetStore(spark, chosen.target) if chosen.target else star_database(spark)
-            run_star_job(spark, chosen.source or source_root(), target)
+            losses = ParquetStore(spark, chosen.rejects) if chosen.rejects else None
+            run_star_job(spark, chosen.source or source_root(), target, rejects_to=losses)
             tables = [RAW_TABLE, *STAR_TABLES]
         else:
             source = ParquetStore(spark, chosen.source) if chosen.source else star_database(spark)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 
 from starmart.contracts import MARTS as MART_CONTRACTS
 from starmart.operators.enrich import DIMENSION_KEYS
-from starmart.operators.marts import MARTS, mart_from_star
+from starmart.operators.marts import MARTS, decided_by_key, key_groups, mart_from_star
 from starmart.plans.star import Star, stored_dims
-from starmart.sources.tables import JdbcStore, ParquetStore
+from starmart.sources.staging import Staging
+from starmart.sources.tables import JdbcStore, ParquetStore, at_once
 
 # The dimensions each mart reads.
 MART_DIMENSIONS = {
@@ -25,17 +28,35 @@ def mart_of(star: Star, mart: str, limit: bool = True) -> DataFrame:
     """A mart over a star that is not stored: only the parts it needs are made."""
     names = MART_DIMENSIONS[mart]
     columns = [DIMENSION_KEYS[n] for n in names] + ["source_sale_id", "sale_quantity", "sale_total_price"]
-    return mart_from_star(mart, star.fact(columns), star.dims(*names), limit=limit)
-
+    dims = star.dims(*names)
+    for name in names:
+        if name != MARTS[mart].dimension:  # joined to the fact, after a look at its size
+            dims[name] = star.staging.keep(dims[name], name)
+    return mart_from_star(mart, star.fact(columns), dims, limit=limit)
 
-def stored_marts(store: ParquetStore | JdbcStore) -> dict[str, DataFrame]:
-    """All marts over stored star tables, unordered where no row limit asks for order."""
-    fact, dims = store.read("fact_sales"), stored_dims(store)
-    return {mart: mart_from_star(mart, fact, dims, ordered=False) for mart in MARTS}
 
+def stored_marts(store: ParquetStore | JdbcStore, staging: Staging) -> dict[str, DataFrame]:
+    """All marts over stored star tables, unordered where no row limit asks for order.
 
-def store_marts(star: ParquetStore | JdbcStore, target: ParquetStore | JdbcStore) -> dict[str, int]:
+    Where several marts describe one dimension, the fact is aggregated by its
+    key once for all of them.
+    """
+    fact, dims = store.read("fact_sales"), stored_dims(store)
+    sharing: dict[str, list[str]] = {}
+    for mart, spec in MARTS.items():
+        if decided_by_key(mart):
+            sharing.setdefault(spec.dimension, []).append(mart)
+    groups = {}
+    for dimension, marts in sharing.items():
+        if len(marts) > 1:
+            shared = staging.keep(key_groups(fact, *marts), f"{dimension}-groups")
+            groups.update(dict.fromkeys(marts, shared))
+    return {mart: mart_from_star(mart, fact, dims, ordered=False, groups=groups.get(mart)) for mart in MARTS}
+
+
+def store_marts(
+    star: ParquetStore | JdbcStore, target: ParquetStore | JdbcStore, staging: Staging
+) -> dict[str, int]:
     """Refresh all mart tables; the rows written per mart."""
-    return {
-        mart: target.write(frame, mart, MART_CONTRACTS[mart]) for mart, frame in stored_marts(star).items()
-    }
+    marts = stored_marts(star, staging)
+    return at_once({name: partial(target.write, df, name, MART_CONTRACTS[name]) for name, df in marts.items()})

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from starmart.contracts import STAR, project_to, subset
 from starmart.operators.dimensions import (
-    MEMBER_ROWS,
     composite_key_dim,
     date_dim,
     distinct_row_dim,
@@ -18,7 +18,7 @@ from starmart.operators.enrich import DIMENSION_KEYS
 from starmart.operators.fact import FACT_COLUMNS, build_fact
 from starmart.plans.layout import FULL, StarLayout
 from starmart.sources.staging import Staging
-from starmart.sources.tables import JdbcStore, ParquetStore
+from starmart.sources.tables import JdbcStore, ParquetStore, at_once
 
 DIMENSIONS = tuple(DIMENSION_KEYS)
 STAR_TABLES = (*DIMENSIONS, "fact_sales")  # load order: the fact refers to the rest
@@ -84,18 +84,16 @@ class Star:
         )
         return project_to(fact, subset(STAR["fact_sales"], columns))
 
-    def store(self, store: ParquetStore | JdbcStore) -> dict[str, int]:
-        """Refresh all star tables in load order; the rows written per table."""
-        written = {}
+    def store(self, store: ParquetStore) -> dict[str, int]:
+        """Refresh all star tables, the fact last; the rows written per table."""
+        writes = {}
         for name in DIMENSIONS:
             frame = self.members(name)
-            written[name] = store.write(frame, name, subset(STAR[name], frame.columns))
+            writes[name] = partial(store.write, frame, name, subset(STAR[name], frame.columns))
+        written = at_once(writes)
         written["fact_sales"] = store.write(self.fact(), "fact_sales", STAR["fact_sales"])
         return written
 
 
 def stored_dims(store: ParquetStore | JdbcStore) -> dict[str, DataFrame]:
     return {name: store.read(name) for name in DIMENSIONS}
-
-
-__all__ = ["DIMENSIONS", "MEMBER_ROWS", "STAR_TABLES", "Star", "stored_dims"]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from starmart.contracts import MARTS as MART_CONTRACTS, RAW, STAR, contract, project_to, subset
+from starmart.contracts import MARTS as MART_CONTRACTS, RAW, contract, project_to, subset
 from starmart.functions.cleaning import find_rejects, normalize_strings, parse_typed
 from starmart.operators.enrich import enrich
 from starmart.operators.fact import resolve_store_key, resolve_supplier_key
@@ -239,7 +239,7 @@ def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _stored_star(spark, sf_dir)
-    store_marts(store, store)
+    store_marts(store, store, Staging(spark))
     return count_tables(store, [*STAR_TABLES, *MARTS])
 
 
@@ -274,5 +274,3 @@ QUERIES: dict[str, Query] = {
     "table_counts": table_counts,
     "full_refresh_idempotent": full_refresh_idempotent,
 }
-
-__all__ = ["QUERIES", "STAR"]

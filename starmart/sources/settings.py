@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
+from starmart.contracts import MARTS, TABLE_KEYS
 from starmart.sources.tables import JdbcStore
 
 # Variable names and connection defaults of the two databases.
@@ -69,4 +70,7 @@ def mart_database(spark: SparkSession, env: Mapping[str, str] = os.environ) -> J
             "driver": "com.clickhouse.jdbc.ClickHouseDriver",
         },
         write_options={"batchsize": "100000", "numPartitions": "16"},
+        create_options={
+            mart: f"ENGINE = MergeTree() ORDER BY ({', '.join(TABLE_KEYS[mart])})" for mart in MARTS
+        },
     )

@@ -5,7 +5,8 @@ Both stores have the same four methods, so a job does not know which it uses.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -14,6 +15,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from starmart.contracts import TABLE_KEYS, project_to
 
 
+def at_once(writes: Mapping[str, Callable[[], int]], jobs: int = 4) -> dict[str, int]:
+    """Run independent writes side by side, so that one's last tasks do not idle the rest."""
+    with ThreadPoolExecutor(max_workers=jobs) as pool:
+        return dict(zip(writes, pool.map(lambda write: write(), writes.values())))
+
+
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The frame with a row count that its own write fills in."""
     rows = Observation()
@@ -50,13 +57,17 @@ class ParquetStore:
 
 @dataclass(frozen=True)
 class JdbcStore:
-    """Tables of one database. ``properties`` holds user, password and driver."""
+    """Tables of one database. ``properties`` holds user, password and driver.
+
+    ``create_options`` ends the statement that creates a missing table, by table.
+    """
 
     spark: SparkSession
     url: str
     properties: Mapping[str, str]
     schema_name: str | None = None
     write_options: Mapping[str, str] = field(default_factory=dict)
+    create_options: Mapping[str, str] = field(default_factory=dict)
 
     def qualified(self, table: str) -> str:
         return f"{self.schema_name}.{table}" if self.schema_name else table
@@ -88,17 +99,19 @@ class JdbcStore:
         row = self.query(f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {self.qualified(table)}").first()
         return key, int(row[0] or 0), int(row[1] or 0) + 1, parts
 
-    def options(self, refresh: bool) -> dict[str, str]:
+    def options(self, table: str, refresh: bool) -> dict[str, str]:
         """Writer options. A refresh empties the table and keeps its definition."""
         chosen = {**self.properties, **self.write_options}
         if refresh:
             chosen["truncate"] = "true"
+        if table in self.create_options:
+            chosen["createTableOptions"] = self.create_options[table]
         return chosen
 
     def write(self, df: DataFrame, table: str, schema: T.StructType, refresh: bool = True) -> int:
         counted, rows = _observed(project_to(df, schema))
         mode = "overwrite" if refresh else "append"
-        counted.write.mode(mode).jdbc(self.url, self.qualified(table), properties=self.options(refresh))
+        counted.write.mode(mode).jdbc(self.url, self.qualified(table), properties=self.options(table, refresh))
         return rows.get["rows"]
 
     def count(self, table: str) -> DataFrame:
