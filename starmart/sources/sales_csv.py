@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -23,7 +25,7 @@ def find_sales_files(spark: SparkSession, root: str, name_glob: str = SALES_FILE
     found = _below(spark, root, name_glob).text(root).inputFiles()
     if not found:
         raise FileNotFoundError(f"no file matching {name_glob} below {root}")
-    return sorted(found)
+    return sorted(unquote(path) for path in found)
 
 
 def read_sales_csv(
@@ -61,7 +63,7 @@ def read_sales_csv(
             reader.schema(text)
             .options(header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE")
             .option("enforceSchema", False)  # a header that differs after all stops the job
-            .csv(paths if len(groups) > 1 else root)
+            .csv([_literal(path) for path in paths] if len(groups) > 1 else root)
         )
         part = normalize_strings(scan.withColumnRenamed(SOURCE_ID, SALE_ID)).select(*schema.names)
         frame = part if frame is None else frame.unionByName(part)
@@ -87,6 +89,11 @@ def _below(spark: SparkSession, root: str, name_glob: str):
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
 
 
+def _literal(path: str) -> str:
+    """A path in which no character acts as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names from the first line of one file; nothing else is read."""
     jvm = spark.sparkContext._jvm
