@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starmart.operators.keys import frequent_rows, lookup
+from starmart.operators.keys import SPREAD, frequent_rows, lookup
 
 # Which key leads to which dimension, in join order.
 DIMENSION_KEYS = {
@@ -77,7 +77,9 @@ def enrich(
         if name in sources:
             sources.update(parts)
     keys = [k for name, k in DIMENSION_KEYS.items() if name in dims and sources & set(dims[name].columns) - {k}]
-    rows = fact.select(*[c for c in fact.columns if c in sources or c in keys])
+    rows = fact.select(*[c for c in fact.columns if c in sources or c in keys or c == SPREAD])
+    if "sale_key" in fact.columns:  # unique and stored, so it scatters rows best
+        rows = fact.select(*rows.columns, F.col("sale_key").alias(SPREAD))
     for name, key in DIMENSION_KEYS.items():
         if name not in dims:
             continue

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.contracts import STAR
 from starmart.operators.dimensions import MEMBER_ROWS, date_key
-from starmart.operators.keys import assign_dense_key, blank_nulls, frequent_members, lookup
+from starmart.operators.keys import SPREAD, assign_dense_key, blank_nulls, frequent_members, lookup
 from starmart.sources.staging import Staging
 
 FACT_COLUMNS = STAR["fact_sales"].names
@@ -66,11 +66,12 @@ def build_fact(
     """The fact, or only some ``columns`` of it.
 
     A lookup or the numbering happens only if its key is among ``columns``.
-    ``sale_key`` follows the sale id and then every other fact column, so rows
+    The records' ``SPREAD`` numbers, if they have any, go along and may be
+    among ``columns`` too. ``sale_key`` follows the sale id and then every other fact column, so rows
     with the same number of ties are equal rows.
     """
     wanted = set(_ORDER) if "sale_key" in columns else set(columns)
-    carried = []
+    carried = [SPREAD] if SPREAD in raw.columns else []
     if "store_key" in wanted:
         carried += store_natural_key
     if "supplier_key" in wanted:

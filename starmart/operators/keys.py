@@ -20,6 +20,20 @@ FREQUENT = 1000
 # monotonically_increasing_id: partition number above, row position below.
 _POSITION_BITS = 33
 
+# Column of numbers that scatter equal rows, see with_spread.
+SPREAD = "_spread"
+_SPREAD_BITS = 20
+
+
+def with_spread(df: DataFrame) -> DataFrame:
+    """Add numbers by which even equal rows can be scattered over a shuffle.
+
+    The numbers depend on row positions, so the result has to be stored before a
+    shuffle uses them: read back, a row has the same number on every attempt.
+    """
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SPREAD_BITS) - 1))
+    return df.withColumn(SPREAD, number.cast("int"))
+
 
 def blank_nulls(columns: Sequence[str]) -> list[Column]:
     """The columns with NULL read as empty text."""
@@ -40,21 +54,21 @@ def assign_dense_key(df: DataFrame, order: Sequence[str], out: str, staging: Sta
     rows that differ, so that the numbers do not depend on the partitioning.
 
     The input is staged too, because finding the range bounds reads it once more.
-    The number of the source partition takes part in the split, after ``order``:
-    a mass of equal rows spreads over many ranges, and it does so the same way
-    when a lost task runs again.
+    It is staged with numbers that take part in the split, after ``order``, so
+    a mass of equal rows spreads over many ranges.
     """
-    source, slot, ranged = "_source", "_slot", "_range"
+    slot, ranged = "_slot", "_range"
     ascending = [F.col(c).asc_nulls_first() for c in order]
+    source = staging.path(f"{out}-input")
     placed = (
-        staging.keep(df, f"{out}-input")
-        .withColumn(source, F.spark_partition_id())
-        .repartitionByRange(*ascending, source)
-        .drop(source)
+        staging.keep_at(with_spread(df), source)
+        .repartitionByRange(*ascending, SPREAD)
+        .drop(SPREAD)
         .sortWithinPartitions(*ascending)
         .withColumn(slot, F.monotonically_increasing_id())
     )
     placed = staging.keep(placed, out).withColumn(ranged, F.shiftright(slot, _POSITION_BITS))
+    staging.drop(source)
     before = Window.orderBy(ranged).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(ranged)
@@ -96,9 +110,10 @@ def lookup(
 
     ``frequent`` holds the rows of ``right`` for keys with a large share of
     ``left``, as ``frequent_members`` or ``frequent_rows`` give them; it is
-    broadcast. Rows it answers, and rows that cannot match, carry the number of
-    their source partition in the join key where others carry the key's hash. The
-    shuffle then spreads them evenly, and the same way on every attempt.
+    broadcast. Rows it answers, and rows that cannot match, carry a scattering
+    number in the join key where others carry the key's hash, so the shuffle
+    spreads them evenly. The number is the stored ``SPREAD`` column of ``left``, or
+    else the source partition's number: both are the same on every attempt.
     """
 
     def renamed(df: DataFrame, mark: str, extra: Column) -> DataFrame:
@@ -116,9 +131,10 @@ def lookup(
         rows = rows.join(F.broadcast(few), same_key("_few_"), "left")
         settled = settled | F.col("_few").isNotNull()
 
-    spread = F.when(settled, F.spark_partition_id().cast("long")).otherwise(F.xxhash64(*on))
+    scatter = F.col(SPREAD) if SPREAD in left.columns else F.spark_partition_id()
+    route = F.when(settled, scatter.cast("long")).otherwise(F.xxhash64(*on))
     table = renamed(right, "_all_", F.xxhash64(*on).alias("_all"))
-    found = rows.withColumn("_route", spread).join(
+    found = rows.withColumn("_route", route).join(
         table, (F.col("_route") == F.col("_all")) & same_key("_all_"), "left"
     )
     if frequent is None:

@@ -15,7 +15,7 @@ from starmart.functions.cleaning import explode_rejects
 from starmart.operators.enrich import DIMENSION_KEYS
 from starmart.operators.quality import check_foreign_key, check_unique
 from starmart.plans.marts import store_marts
-from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star
+from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records
 from starmart.sources.sales_csv import REJECTED, SALES_FILES, load_sales
 from starmart.sources.settings import mart_database, source_root, star_database
 from starmart.sources.staging import Staging
@@ -31,6 +31,7 @@ def run_star_job(
     target: ParquetStore | JdbcStore,
     name_glob: str = SALES_FILES,
     multi_line: bool = True,
+    same_header: bool = False,
     rejects_to: ParquetStore | None = None,
 ) -> dict[str, int]:
     """CSV files to raw table, star tables and rejects; the rows written per table.
@@ -43,8 +44,8 @@ def run_star_job(
     """
     staging = Staging(spark)
     try:
-        parsed = staging.keep(load_sales(spark, root, name_glob, RAW, multi_line), "raw")
-        raw, rejects = parsed.select(*RAW.names), explode_rejects(parsed, REJECTED)
+        raw = stage_records(load_sales(spark, root, name_glob, RAW, multi_line, same_header), staging)
+        rejects = explode_rejects(raw, REJECTED)
         draft = ParquetStore(spark, f"{staging.root}/star")
         Star(raw, staging).store(draft)
         check_star(draft)
@@ -72,7 +73,10 @@ def check_star(store: ParquetStore) -> None:
 
 
 def run_marts_job(
-    spark: SparkSession, star: ParquetStore | JdbcStore, target: ParquetStore | JdbcStore
+    spark: SparkSession,
+    star: ParquetStore | JdbcStore,
+    target: ParquetStore | JdbcStore,
+    connections: int = 32,
 ) -> dict[str, int]:
     """Stored star to stored marts. A database is read once, into staging."""
     staging = Staging(spark)
@@ -80,7 +84,7 @@ def run_marts_job(
         if isinstance(star, JdbcStore):
             copy = ParquetStore(spark, f"{staging.root}/star")
             for name in STAR_TABLES:
-                split = star.key_split(name, STAR[name].names[0], 32)
+                split = star.key_split(name, STAR[name].names[0], connections)
                 copy.write(star.read(name, STAR[name], split), name, STAR[name])
             star = copy
         return store_marts(star, target, staging)
@@ -93,6 +97,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("job", choices=["star", "marts"])
     parser.add_argument("--source", help="folder of sales files (star) or of star tables (marts)")
     parser.add_argument("--target", help="folder for the tables; a database if left out")
+    parser.add_argument("--same-header", action="store_true", help="all sales files have one header (star)")
+    parser.add_argument("--single-line", action="store_true", help="no line ends inside cells (star)")
     parser.add_argument("--rejects", help="folder for values that could not be typed (star)")
     chosen = parser.parse_args(arguments)
 
@@ -101,7 +107,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
         if chosen.job == "star":
             target = ParquetStore(spark, chosen.target) if chosen.target else star_database(spark)
             losses = ParquetStore(spark, chosen.rejects) if chosen.rejects else None
-            run_star_job(spark, chosen.source or source_root(), target, rejects_to=losses)
+            run_star_job(
+                spark,
+                chosen.source or source_root(),
+                target,
+                multi_line=not chosen.single_line,
+                same_header=chosen.same_header,
+                rejects_to=losses,
+            )
             tables = [RAW_TABLE, *STAR_TABLES]
         else:
             source = ParquetStore(spark, chosen.source) if chosen.source else star_database(spark)

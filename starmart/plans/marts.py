@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from starmart.contracts import MARTS as MART_CONTRACTS
 from starmart.operators.enrich import DIMENSION_KEYS
+from starmart.operators.keys import SPREAD
 from starmart.operators.marts import MARTS, decided_by_key, key_groups, mart_from_star
 from starmart.plans.star import Star, stored_dims
 from starmart.sources.staging import Staging
@@ -28,6 +29,8 @@ def mart_of(star: Star, mart: str, limit: bool = True) -> DataFrame:
     """A mart over a star that is not stored: only the parts it needs are made."""
     names = MART_DIMENSIONS[mart]
     columns = [DIMENSION_KEYS[n] for n in names] + ["source_sale_id", "sale_quantity", "sale_total_price"]
+    if SPREAD in star.raw.columns:
+        columns.append(SPREAD)
     dims = star.dims(*names)
     for name in names:
         if name != MARTS[mart].dimension:  # joined to the fact, after a look at its size

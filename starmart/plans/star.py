@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from starmart.contracts import STAR, project_to, subset
 from starmart.operators.dimensions import (
@@ -15,6 +15,7 @@ from starmart.operators.dimensions import (
     natural_key_dim,
 )
 from starmart.operators.enrich import DIMENSION_KEYS
+from starmart.operators.keys import SPREAD, with_spread
 from starmart.operators.fact import FACT_COLUMNS, build_fact
 from starmart.plans.layout import FULL, StarLayout
 from starmart.sources.staging import Staging
@@ -25,11 +26,16 @@ STAR_TABLES = (*DIMENSIONS, "fact_sales")  # load order: the fact refers to the
 SURVIVOR_ORDER = ["sale_id"]
 
 
+def stage_records(df: DataFrame, staging: Staging) -> DataFrame:
+    """Sales records stored once, with numbers to scatter them by."""
+    return staging.keep(with_spread(df), "raw")
+
+
 class Star:
     """The parts of a star over one frame of sales records.
 
     Parts are made when asked for, each once. ``raw`` is read for every part, so
-    it should be a stored table.
+    it should come from ``stage_records``, except when only one part is wanted.
     """
 
     def __init__(self, raw: DataFrame, staging: Staging, layout: StarLayout = FULL):
@@ -82,7 +88,8 @@ class Star:
         fact = build_fact(
             self.raw, needed, self.layout.store_key, self.layout.suppliers, self.staging, columns
         )
-        return project_to(fact, subset(STAR["fact_sales"], columns))
+        typed = subset(STAR["fact_sales"], columns)
+        return project_to(fact, T.StructType([*typed.fields, *[f for f in fact.schema.fields if f.name == SPREAD]]))
 
     def store(self, store: ParquetStore) -> dict[str, int]:
         """Refresh all star tables, the fact last; the rows written per table."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -10,6 +10,7 @@ from starmart.contracts import MARTS as MART_CONTRACTS, RAW, contract, project_t
 from starmart.functions.cleaning import find_rejects, normalize_strings, parse_typed
 from starmart.operators.enrich import enrich
 from starmart.operators.fact import resolve_store_key, resolve_supplier_key
+from starmart.operators.keys import SPREAD
 from starmart.operators.marts import MARTS
 from starmart.operators.quality import (
     check_foreign_key,
@@ -20,7 +21,7 @@ from starmart.operators.quality import (
 )
 from starmart.plans.layout import FULL
 from starmart.plans.marts import MART_DIMENSIONS, mart_of, store_marts
-from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stored_dims
+from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records, stored_dims
 from starmart.plans.wide import table, wide_sales
 from starmart.sources.sales_csv import SOURCE_ID, load_sales
 from starmart.sources.staging import Staging
@@ -42,15 +43,12 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def _stored_raw(spark: SparkSession, sf_dir: str, staging: Staging, columns=None) -> DataFrame:
-    """The sales records written once, for queries that scan them several times."""
-    wide = wide_sales(spark, sf_dir)
-    return staging.keep(wide.select(*columns) if columns else wide, "raw")
-
-
-def _star(spark: SparkSession, sf_dir: str, columns=None) -> Star:
+def _star(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> Star:
+    """A star over the sales records, or over some columns of them, stored once."""
     staging = Staging(spark)
-    return Star(_stored_raw(spark, sf_dir, staging, columns), staging)
+    wide = wide_sales(spark, sf_dir)
+    wanted = [c for c in wide.columns if columns is None or c in columns]
+    return Star(stage_records(wide.select(*wanted), staging), staging)
 
 
 def _stored_star(spark: SparkSession, sf_dir: str) -> ParquetStore:
@@ -164,13 +162,14 @@ def _with_store_columns(spark: SparkSession, sf_dir: str) -> Star:
 
 def lookup_store_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _with_store_columns(spark, sf_dir)
-    return resolve_store_key(star.raw, star.members("dim_stores"), star.layout.store_key)
+    return resolve_store_key(star.raw, star.members("dim_stores"), star.layout.store_key).drop(SPREAD)
 
 
 def _supplier_lookup(null_safe: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         star = _star(spark, sf_dir, ["sale_id", "supplier_name", "supplier_city", "supplier_country"])
-        return resolve_supplier_key(star.raw, star.members("dim_suppliers"), star.layout.suppliers, null_safe)
+        suppliers = star.members("dim_suppliers")
+        return resolve_supplier_key(star.raw, suppliers, star.layout.suppliers, null_safe).drop(SPREAD)
 
     return run
 
@@ -201,8 +200,7 @@ def mart_star(spark: SparkSession, sf_dir: str, mart: str) -> Star:
     needed = {"sale_id", "sale_quantity", "sale_total_price"}
     for dimension in MART_DIMENSIONS[mart]:
         needed.update(_MART_SOURCES[dimension])
-    wide = wide_sales(spark, sf_dir)
-    return Star(Staging(spark).keep(wide.select(*[c for c in wide.columns if c in needed]), "raw"), Staging(spark))
+    return _star(spark, sf_dir, needed)
 
 
 def _mart(name: str) -> Query:

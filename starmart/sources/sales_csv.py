@@ -19,6 +19,8 @@ SALE_ID = "sale_id"
 
 REJECTED = "rejected_values"
 
+HEADER_READERS = 32  # files whose first line is read at the same time
+
 
 def find_sales_files(spark: SparkSession, root: str, name_glob: str = SALES_FILES) -> list[str]:
     """All matching files at any depth, sorted; an error if there is none."""
@@ -34,6 +36,7 @@ def read_sales_csv(
     name_glob: str = SALES_FILES,
     schema: T.StructType = RAW,
     multi_line: bool = True,
+    same_header: bool = False,
 ) -> DataFrame:
     """The columns of ``schema`` as cleaned text, from all matching files.
 
@@ -44,10 +47,15 @@ def read_sales_csv(
     ``multi_line`` allows line ends inside quotes. Spark cannot split such a
     file, so very large input should come as many files; without line ends in
     cells, turn it off and any file is split.
+
+    ``same_header`` promises one header for all files, so that only one of very
+    many files is looked at. A file that breaks the promise stops the job.
     """
     files = find_sales_files(spark, root, name_glob)
+    if same_header:
+        files = files[:1]
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(max_workers=16) as pool:
+    with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
         for path, header in zip(files, pool.map(lambda f: _header(spark, f), files)):
             groups.setdefault(header, []).append(path)
 
@@ -76,12 +84,13 @@ def load_sales(
     name_glob: str = SALES_FILES,
     schema: T.StructType = RAW,
     multi_line: bool = True,
+    same_header: bool = False,
 ) -> DataFrame:
     """Typed sales records, with the values that typing lost in ``REJECTED``.
 
     Both come from one parse; ``explode_rejects`` makes the second a table.
     """
-    text = read_sales_csv(spark, root, name_glob, schema, multi_line)
+    text = read_sales_csv(spark, root, name_glob, schema, multi_line, same_header)
     return parse_typed(text, schema, rejected_values(schema, [SALE_ID]).alias(REJECTED))
 
 

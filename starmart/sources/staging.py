@@ -34,16 +34,19 @@ class Staging:
         self.root = f"{root or shared_folder(spark)}/starmart-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
+        """A new folder, whatever else has the same name."""
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Run ``df`` once; later reads see exactly these rows, column by column."""
-        path = self.path(name)
+        return self.keep_at(df, self.path(name))
+
+    def keep_at(self, df: DataFrame, path: str) -> DataFrame:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        """Delete this object's own folder, when nothing reads from it any more."""
+    def drop(self, path: str | None = None) -> None:
+        """Delete one folder from ``path()``, or all of them, once nothing reads from there."""
         jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
+        folder = jvm.org.apache.hadoop.fs.Path(path or self.root)
         folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

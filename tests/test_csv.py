@@ -110,3 +110,13 @@ def test_part_of_the_contract(spark, tmp_path):
     layout = subset(RAW, ["sale_id", "sale_date", "store_city"])
     df = load_sales(spark, str(tmp_path), schema=layout)
     assert df.columns == [*layout.names, REJECTED] and df.first().store_city == "Lima"
+
+
+def test_a_broken_promise_of_one_header_stops_the_job(spark, tmp_path):
+    write_sales(tmp_path / "MOCK_DATA_1.csv", {"id": "1"})
+    write_sales(tmp_path / "MOCK_DATA_2.csv", {"id": "2"})
+    assert load_sales(spark, str(tmp_path), same_header=True).count() == 2
+    write_sales(tmp_path / "MOCK_DATA_3.csv", {"id": "3"}, columns=list(reversed(SALE)))
+    with pytest.raises(Exception, match="(?i)header"):
+        load_sales(spark, str(tmp_path), same_header=True).collect()
+    assert load_sales(spark, str(tmp_path)).count() == 3

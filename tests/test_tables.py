@@ -6,7 +6,7 @@ from starmart.contracts import MARTS, contract
 from starmart.sources import staging as staging_module
 from starmart.sources.settings import mart_database, source_root, star_database
 from starmart.sources.staging import Staging, shared_folder
-from starmart.sources.tables import ParquetStore, at_once, count_tables
+from starmart.sources.tables import JdbcStore, ParquetStore, at_once, count_tables
 
 SCHEMA = contract("long: product_key\ntext: product_name")
 
@@ -51,6 +51,37 @@ def test_staging_drop_removes_only_its_own_folder(spark, tmp_path):
     assert kept.count() == 4 and len(list(tmp_path.iterdir())) == 1
 
 
+class _Reader:
+    """Stands in for a session and its reader, and notes what is asked of a database."""
+
+    def __init__(self):
+        self.read = self
+        self.calls = []
+
+    def jdbc(self, *arguments, properties):
+        self.calls.append((arguments, properties))
+        return self
+
+    def first(self):
+        return (3, 40)
+
+
+def test_database_reads_are_split_and_counts_run_in_the_database():
+    session = _Reader()
+    store = JdbcStore(session, "jdbc:x", {"user": "u"}, schema_name="public")
+    store.read("dim_stores")
+    split = store.key_split("fact_sales", "sale_key", 8)
+    store.read("fact_sales", split=split)
+    store.count("fact_sales")
+    assert [c[0][1:] for c in session.calls] == [
+        ("public.dim_stores",),
+        ("(SELECT MIN(sale_key) AS low, MAX(sale_key) AS high FROM public.fact_sales) t",),
+        ("public.fact_sales", "sale_key", 3, 41, 8),
+        ("(SELECT COUNT(*) AS row_count FROM public.fact_sales) t",),
+    ]
+    assert all(c == (("jdbc:x", *c[0][1:]), {"user": "u"}) for c in session.calls)
+
+
 class _Session:
     """A session without a checkpoint folder."""
 
