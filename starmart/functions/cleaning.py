@@ -42,21 +42,28 @@ def parse_typed(df: DataFrame, schema: T.StructType, *extra: Column) -> DataFram
     return df.select(*typed, *extra)
 
 
-def rejected_values(schema: T.StructType, keys: list[str]) -> Column:
-    """The values of a text row that typing loses, as an array.
+def parse_with_rejects(df: DataFrame, schema: T.StructType, keys: list[str], rejected: str) -> DataFrame:
+    """Typed columns, and in ``rejected`` the values that typing lost, as an array.
 
-    Each entry holds the row's ``keys`` as text, ``column_name`` and
-    ``source_value``. Blank text is not a loss.
+    Each entry holds the row's ``keys`` as they were before typing, ``column_name`` and
+    ``source_value``. Blank text is not a loss. Typing is a step of its own, so
+    each value is typed once for both uses.
     """
+    checked = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    text = {c: f"_text_{c}" for c in dict.fromkeys([*keys, *checked])}
+    typed = parse_typed(df, schema, *[F.col(c).alias(t) for c, t in text.items()])
     losses = [
         F.when(
-            F.col(f.name).isNotNull() & tolerant_cast(F.col(f.name), f.dataType).isNull(),
-            F.struct(*keys, F.lit(f.name).alias("column_name"), F.col(f.name).alias("source_value")),
+            F.col(text[c]).isNotNull() & F.col(c).isNull(),
+            F.struct(
+                *[F.col(text[k]).alias(k) for k in keys],
+                F.lit(c).alias("column_name"),
+                F.col(text[c]).alias("source_value"),
+            ),
         )
-        for f in schema.fields
-        if not isinstance(f.dataType, T.StringType)
+        for c in checked
     ]
-    return F.array_compact(F.array(*losses))
+    return typed.select(*schema.names, F.array_compact(F.array(*losses)).alias(rejected))
 
 
 def explode_rejects(df: DataFrame, rejected: str) -> DataFrame:
@@ -66,4 +73,4 @@ def explode_rejects(df: DataFrame, rejected: str) -> DataFrame:
 
 def find_rejects(df: DataFrame, schema: T.StructType, keys: list[str]) -> DataFrame:
     """The values of a text frame that typing to ``schema`` loses."""
-    return explode_rejects(df.select(rejected_values(schema, keys).alias("rejected")), "rejected")
+    return explode_rejects(parse_with_rejects(df, schema, keys, "rejected"), "rejected")

@@ -17,7 +17,7 @@ from starmart.operators.quality import check_foreign_key, check_unique
 from starmart.plans.marts import store_marts
 from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records
 from starmart.sources.sales_csv import REJECTED, SALES_FILES, load_sales
-from starmart.sources.settings import mart_database, source_root, star_database
+from starmart.sources.settings import driver_jars, mart_database, source_root, star_database
 from starmart.sources.staging import Staging
 from starmart.sources.tables import JdbcStore, ParquetStore, count_tables
 
@@ -102,7 +102,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--rejects", help="folder for values that could not be typed (star)")
     chosen = parser.parse_args(arguments)
 
-    spark = SparkSession.builder.appName(f"starmart-{chosen.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"starmart-{chosen.job}")
+    if driver_jars():
+        builder = builder.config("spark.jars", driver_jars())
+    spark = builder.getOrCreate()
     try:
         if chosen.job == "star":
             target = ParquetStore(spark, chosen.target) if chosen.target else star_database(spark)

@@ -15,8 +15,8 @@ from starmart.operators.dimensions import (
     natural_key_dim,
 )
 from starmart.operators.enrich import DIMENSION_KEYS
-from starmart.operators.keys import SPREAD, with_spread
 from starmart.operators.fact import FACT_COLUMNS, build_fact
+from starmart.operators.keys import SPREAD, with_spread
 from starmart.plans.layout import FULL, StarLayout
 from starmart.sources.staging import Staging
 from starmart.sources.tables import JdbcStore, ParquetStore, at_once
@@ -24,6 +24,7 @@ from starmart.sources.tables import JdbcStore, ParquetStore, at_once
 DIMENSIONS = tuple(DIMENSION_KEYS)
 STAR_TABLES = (*DIMENSIONS, "fact_sales")  # load order: the fact refers to the rest
 SURVIVOR_ORDER = ["sale_id"]
+_LOOKED_UP = {"dim_stores": "store_key", "dim_suppliers": "supplier_key"}
 
 
 def stage_records(df: DataFrame, staging: Staging) -> DataFrame:
@@ -80,24 +81,20 @@ class Star:
     def fact(self, columns: Sequence[str] = FACT_COLUMNS) -> DataFrame:
         """The fact, or some columns of it with no more work than they need."""
         everything = "sale_key" in columns
-        needed = {
-            name: self.members(name)
-            for name, key in (("dim_stores", "store_key"), ("dim_suppliers", "supplier_key"))
-            if everything or key in columns
-        }
-        fact = build_fact(
-            self.raw, needed, self.layout.store_key, self.layout.suppliers, self.staging, columns
-        )
+        needed = [name for name, key in _LOOKED_UP.items() if everything or key in columns]
+        dims = at_once({name: partial(self.members, name) for name in needed})
+        fact = build_fact(self.raw, dims, self.layout.store_key, self.layout.suppliers, self.staging, columns)
         typed = subset(STAR["fact_sales"], columns)
         return project_to(fact, T.StructType([*typed.fields, *[f for f in fact.schema.fields if f.name == SPREAD]]))
 
     def store(self, store: ParquetStore) -> dict[str, int]:
         """Refresh all star tables, the fact last; the rows written per table."""
-        writes = {}
-        for name in DIMENSIONS:
+
+        def write(name: str) -> int:
             frame = self.members(name)
-            writes[name] = partial(store.write, frame, name, subset(STAR[name], frame.columns))
-        written = at_once(writes)
+            return store.write(frame, name, subset(STAR[name], frame.columns))
+
+        written = at_once({name: partial(write, name) for name in DIMENSIONS})
         written["fact_sales"] = store.write(self.fact(), "fact_sales", STAR["fact_sales"])
         return written
 

@@ -10,7 +10,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from starmart.contracts import RAW
-from starmart.functions.cleaning import normalize_strings, parse_typed, rejected_values
+from starmart.functions.cleaning import normalize_strings, parse_with_rejects
 
 # Which files count as sales files, and the one renamed column.
 SALES_FILES = "*MOCK_DATA*.csv"
@@ -91,7 +91,7 @@ def load_sales(
     Both come from one parse; ``explode_rejects`` makes the second a table.
     """
     text = read_sales_csv(spark, root, name_glob, schema, multi_line, same_header)
-    return parse_typed(text, schema, rejected_values(schema, [SALE_ID]).alias(REJECTED))
+    return parse_with_rejects(text, schema, [SALE_ID], REJECTED)
 
 
 def _below(spark: SparkSession, root: str, name_glob: str):

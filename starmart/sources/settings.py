@@ -37,6 +37,11 @@ def source_root(env: Mapping[str, str] = os.environ) -> str:
     return env.get("PROJECT_ROOT", PROJECT_ROOT)
 
 
+def driver_jars(env: Mapping[str, str] = os.environ) -> str:
+    """JDBC driver files for ``spark.jars``, separated by commas."""
+    return env.get("SPARK_JARS", "")
+
+
 def star_database(spark: SparkSession, env: Mapping[str, str] = os.environ) -> JdbcStore:
     """The relational database of the star tables.
 

@@ -9,16 +9,19 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from starmart.contracts import TABLE_KEYS, project_to
 
+R = TypeVar("R")
 
-def at_once(writes: Mapping[str, Callable[[], int]], jobs: int = 4) -> dict[str, int]:
-    """Run independent writes side by side, so that one's last tasks do not idle the rest."""
+
+def at_once(work: Mapping[str, Callable[[], R]], jobs: int = 6) -> dict[str, R]:
+    """Run independent jobs side by side, so that the last tasks of one do not idle the rest."""
     with ThreadPoolExecutor(max_workers=jobs) as pool:
-        return dict(zip(writes, pool.map(lambda write: write(), writes.values())))
+        return dict(zip(work, pool.map(lambda run: run(), work.values())))
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
