@@ -13,17 +13,18 @@ _SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all machines of the cluster can reach.
 
-    It is the session's ``spark.checkpoint.dir``. Only a local session, where
-    driver and executors are one process, may fall back to a temporary folder.
+    It is the session's ``spark.checkpoint.dir``, or what the context was given in
+    its place. Only a local session, where driver and executors are one process,
+    may fall back to a temporary folder.
     """
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="starmart-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 class Staging:

@@ -86,16 +86,19 @@ class _Session:
     """A session without a checkpoint folder."""
 
     def __init__(self, master):
-        self.settings = {}
         self.conf = self
         self.sparkContext = self
         self.master = master
+        self.folder = None
 
     def get(self, name, default):
-        return self.settings.get(name, default)
+        return default
 
-    def set(self, name, value):
-        self.settings[name] = value
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = f"{folder}/one"
 
 
 def test_a_cluster_without_a_shared_folder_is_an_error(monkeypatch, tmp_path):
@@ -103,7 +106,7 @@ def test_a_cluster_without_a_shared_folder_is_an_error(monkeypatch, tmp_path):
         shared_folder(_Session("yarn"))
     monkeypatch.setattr(staging_module.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
     session = _Session("local[2]")
-    assert shared_folder(session) == shared_folder(session) == str(tmp_path)
+    assert shared_folder(session) == shared_folder(session) == f"{tmp_path}/one"
 
 
 def test_database_settings_come_from_the_environment():
