@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starmart.contracts import MARTS as MART_CONTRACTS, project_to
+from starmart.contracts import MARTS as MART_CONTRACTS, project_to, subset
 from starmart.functions.money import half_up_ratio, money_avg, money_sum
 from starmart.operators.enrich import DIMENSION_KEYS, FULL_NAMES, enrich, full_name
+from starmart.sources.staging import Staging
 
 
 def orders() -> Column:
@@ -164,10 +165,13 @@ def mart_from_star(
     limit: bool = True,
     ordered: bool = True,
     groups: DataFrame | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The named mart from star tables; equal to ``sales_mart`` over all of them joined.
 
-    ``groups`` may hold the ``key_groups`` of a mart that is ``decided_by_key``.
+    ``groups`` may hold the ``key_groups`` of a mart that is ``decided_by_key``. With
+    ``staging`` the few rows of a limited mart are found first, and the dimension
+    is only scanned for them instead of being joined to all groups.
     """
     spec = MARTS[mart]
     measures = [m().alias(n) for n, m in spec.measures().items()]
@@ -184,7 +188,12 @@ def mart_from_star(
         late, early = {}, list(spec.measures())
     described = [c for c in spec.keys if c != key]
     columns = dict.fromkeys([p for c in described for p in FULL_NAMES.get(c, (c,))] + list(late.values()))
-    groups = groups.join(dims[spec.dimension].select(key, *columns), key, "left").select(
+    members = dims[spec.dimension].select(key, *columns)
+    if staging and limit and spec.limit:
+        measured = project_to(groups, subset(MART_CONTRACTS[mart], [key, *early]))
+        groups = staging.keep(measured.orderBy(*sort_columns(spec, [key])).limit(spec.limit), mart)
+        members = members.join(F.broadcast(groups.select(key)), key, "left_semi")
+    groups = groups.join(members, key, "left").select(
         *[(full_name(c) if c in FULL_NAMES else F.col(c)).alias(c) for c in spec.keys],
         *early,
         *[F.col(column).alias(name) for name, column in late.items()],
@@ -203,11 +212,11 @@ def _present(groups: DataFrame, mart: str, limit: bool, ordered: bool) -> DataFr
     result = project_to(finished, MART_CONTRACTS[mart])
     limit_rows = spec.limit if limit else None
     if ordered or limit_rows:
-        result = result.orderBy(*sort_columns(spec))
+        result = result.orderBy(*sort_columns(spec, spec.keys))
     return result.limit(limit_rows) if limit_rows else result
 
 
-def sort_columns(spec: Mart) -> list[Column]:
+def sort_columns(spec: Mart, keys: Sequence[str]) -> list[Column]:
+    """The mart's order, then ``keys``. One key of a dimension decides as much as all of them."""
     chosen = [F.desc(c) if descending else F.asc_nulls_first(c) for c, descending in spec.order]
-    ties: Sequence[str] = [k for k in spec.keys if k not in dict(spec.order)]
-    return chosen + [F.asc_nulls_first(k) for k in ties]
+    return chosen + [F.asc_nulls_first(k) for k in keys if k not in dict(spec.order)]

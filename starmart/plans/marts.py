@@ -35,16 +35,11 @@ def mart_of(star: Star, mart: str, limit: bool = True) -> DataFrame:
     for name in names:
         if name != MARTS[mart].dimension:  # joined to the fact, after a look at its size
             dims[name] = star.staging.keep(dims[name], name)
-    return mart_from_star(mart, star.fact(columns), dims, limit=limit)
+    return mart_from_star(mart, star.fact(columns), dims, limit=limit, staging=star.staging)
 
 
-def stored_marts(store: ParquetStore | JdbcStore, staging: Staging) -> dict[str, DataFrame]:
-    """All marts over stored star tables, unordered where no row limit asks for order.
-
-    Where several marts describe one dimension, the fact is aggregated by its
-    key once for all of them.
-    """
-    fact, dims = store.read("fact_sales"), stored_dims(store)
+def shared_groups(fact: DataFrame, staging: Staging) -> dict[str, DataFrame]:
+    """For marts that describe one dimension: the fact aggregated by its key, once for all."""
     sharing: dict[str, list[str]] = {}
     for mart, spec in MARTS.items():
         if decided_by_key(mart):
@@ -52,14 +47,22 @@ def stored_marts(store: ParquetStore | JdbcStore, staging: Staging) -> dict[str,
     groups = {}
     for dimension, marts in sharing.items():
         if len(marts) > 1:
-            shared = staging.keep(key_groups(fact, *marts), f"{dimension}-groups")
-            groups.update(dict.fromkeys(marts, shared))
-    return {mart: mart_from_star(mart, fact, dims, ordered=False, groups=groups.get(mart)) for mart in MARTS}
+            groups.update(dict.fromkeys(marts, staging.keep(key_groups(fact, *marts), f"{dimension}-groups")))
+    return groups
 
 
 def store_marts(
     star: ParquetStore | JdbcStore, target: ParquetStore | JdbcStore, staging: Staging
 ) -> dict[str, int]:
-    """Refresh all mart tables; the rows written per mart."""
-    marts = stored_marts(star, staging)
-    return at_once({name: partial(target.write, df, name, MART_CONTRACTS[name]) for name, df in marts.items()})
+    """Refresh all mart tables from stored star tables; the rows written per mart.
+
+    Rows are put in order only where a limit asks for it.
+    """
+    fact, dims = star.read("fact_sales"), stored_dims(star)
+    groups = shared_groups(fact, staging)
+
+    def write(mart: str) -> int:
+        frame = mart_from_star(mart, fact, dims, ordered=False, groups=groups.get(mart), staging=staging)
+        return target.write(frame, mart, MART_CONTRACTS[mart])
+
+    return at_once({mart: partial(write, mart) for mart in MARTS})
