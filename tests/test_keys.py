@@ -10,6 +10,7 @@ from starmart.operators.keys import (
     frequent_members,
     frequent_rows,
     lookup,
+    with_spread,
 )
 
 
@@ -105,6 +106,18 @@ def test_frequent_and_null_keys_spread_over_the_shuffle(no_broadcast):
     assert _largest_partition(left.join(right, "k", "left")) >= n / 3
 
 
+def test_copies_from_one_partition_spread_too(no_broadcast, staging):
+    spark = no_broadcast
+    n = 12_000
+    copies = spark.range(0, n, 1, 1).select(F.lit("hot").alias("k"))
+    left = staging.keep(with_spread(copies), "copies")
+    right = spark.createDataFrame([("hot", n, "hot"), ("cold", 1, "cold")], "k string, n int, v string")
+    found = lookup(left, right, ["k"], ["v"], frequent=frequent_members(right, "n"))
+    assert found.where("v = 'hot'").count() == n
+    assert _largest_partition(found) < n / 4
+    assert _largest_partition(lookup(left, right, ["k"], ["v"])) == n
+
+
 def _largest_partition(df):
     sizes = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("rows"), F.max("v"))
     return max(r.rows for r in sizes.collect())
