@@ -19,7 +19,7 @@ from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records
 from starmart.sources.sales_csv import REJECTED, SALES_FILES, load_sales
 from starmart.sources.settings import driver_jars, mart_database, source_root, star_database
 from starmart.sources.staging import Staging
-from starmart.sources.tables import JdbcStore, ParquetStore, count_tables
+from starmart.sources.tables import JdbcStore, ParquetStore, at_once, count_tables
 
 RAW_TABLE = "mock_data"  # fixed value: name of the stored raw records
 REJECTS_TABLE = "rejects"
@@ -67,7 +67,8 @@ def check_star(store: ParquetStore) -> None:
     for name in DIMENSIONS:
         key = DIMENSION_KEYS[name]
         checks[f"{key} of fact_sales"] = check_foreign_key(fact, key, store.read(name))
-    broken = [what for what, violations in checks.items() if not violations.isEmpty()]
+    clean = at_once({what: violations.isEmpty for what, violations in checks.items()})
+    broken = [what for what, passed in clean.items() if not passed]
     if broken:
         raise ValueError(f"star not published, rules broken: {', '.join(broken)}")
 
