@@ -112,7 +112,7 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
         line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
-    names = tuple(next(csv.reader([(line or "").lstrip("﻿")]), []))
+    names = tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), []))
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
         raise ValueError(f"{path} repeats columns: {', '.join(repeated)}")

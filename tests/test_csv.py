@@ -120,3 +120,11 @@ def test_a_broken_promise_of_one_header_stops_the_job(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)header"):
         load_sales(spark, str(tmp_path), same_header=True).collect()
     assert load_sales(spark, str(tmp_path)).count() == 3
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_byte_order_mark_is_not_part_of_the_first_name(spark, tmp_path, multi_line):
+    write_sales(tmp_path / "MOCK_DATA.csv", {"id": "1"}, {"id": "2"})
+    plain = (tmp_path / "MOCK_DATA.csv").read_bytes()
+    (tmp_path / "MOCK_DATA.csv").write_bytes(b"\xef\xbb\xbf" + plain)
+    assert set(_load(spark, tmp_path, multi_line=multi_line)) == {1, 2}
