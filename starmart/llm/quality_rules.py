@@ -6,6 +6,10 @@ much is bad, and labelled documents decide how much is too much.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starmart.llm.shared import Staging
@@ -57,8 +61,8 @@ def _covered(positions: Column) -> Column:
     return F.aggregate(gaps, F.lit(0).cast("long"), lambda total, g: total + g)
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """Every row as the struct ``_doc``, with its measures beside it.
+def measured(docs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Every row as the struct ``_doc``, of all or some columns, with its measures beside it.
 
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_dup_lines`` (lines with
     a word that equal an earlier line), ``n_repeat_words`` (words in windows of
@@ -68,8 +72,10 @@ def measured(docs: DataFrame) -> DataFrame:
     """
     text = F.col("_text")
     without = lambda drop: F.length(text) - F.length(F.translate(text, drop, ""))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
-    rows = rows.withColumn("_text", F.coalesce(F.col("_doc.text").cast("string"), F.lit("")))
+    kept = docs.columns if columns is None else columns
+    rows = docs.select(
+        F.struct(*[docs[c] for c in kept]).alias("_doc"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text")
+    )
     rows = rows.select(
         "_doc",
         F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)).alias("_words"),
@@ -213,30 +219,42 @@ def cutoffs(tried: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``measured`` rows with ``base_failed`` and ``kept``.
-
-    A document is kept if it passes the fixed rules and stays within the cutoffs of its
-    stratum. Strata without enough labelled good documents, and all of them if there are no
-    labels, get no cutoffs. Documents are read twice, for the cutoffs and for
-    the verdict. The table of cutoffs has one row per stratum and is stored, so
-    that Spark knows its size when it chooses the join.
-    """
-    limits = Staging(docs.sparkSession).keep(
-        cutoffs(certified(measured(docs), labels, alpha, delta)), "cutoffs"
-    ).withColumnRenamed("stratum", "_stratum")
-    rows = measured(docs).withColumn("_own", stratum())
+def _verdict(found: DataFrame, limits: DataFrame) -> DataFrame:
+    """``found`` with ``base_failed`` and ``kept``, by the cutoffs of each row's stratum."""
     broken = [
         F.coalesce(score > F.element_at("limits", F.lit(rule)), F.lit(False)) for rule, score in _scores().items()
     ]
-    rejected = broken[0]
-    for b in broken[1:]:
-        rejected = rejected | b
-    return rows.join(limits, F.col("_own") == F.col("_stratum"), "left").select(
+    rejected = reduce(or_, broken)
+    rows = found.withColumn("_own", stratum()).join(limits, F.col("_own") == F.col("_stratum"), "left")
+    return rows.select(
         "_doc", *MEASURES, base_failed().alias("base_failed"), (~base_failed() & ~rejected).alias("kept")
     )
 
 
-def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that ``judged`` keeps, with all their columns."""
-    return judged(docs, labels).where("kept").select("_doc.*")
+def _calibrated(docs: DataFrame, labels: DataFrame, alpha: float, delta: float) -> tuple[DataFrame, DataFrame]:
+    """The stored measures, without texts, and the stored cutoffs.
+
+    The table of cutoffs has one row per stratum and is stored so that Spark knows
+    its size when it chooses the join.
+    """
+    staging = Staging(docs.sparkSession)
+    found = staging.keep(measured(docs, ["doc_id", "lang"]), "measures")
+    limits = staging.keep(cutoffs(certified(found, labels, alpha, delta)), "cutoffs")
+    return found, limits.withColumnRenamed("stratum", "_stratum")
+
+
+def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The measures of every row with ``base_failed`` and ``kept``; ``_doc`` has its ``doc_id`` and ``lang``.
+
+    A document is kept if it passes the fixed rules and stays within the cutoffs of its
+    stratum. Strata without enough labelled good documents, and all of them if there are no
+    labels, get no cutoffs. Repeated rows stay, each with the same verdict; a NULL or
+    empty text fails for its number of words.
+    """
+    return _verdict(*_calibrated(docs, labels, alpha, delta))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The rows that ``judged`` keeps, with all their columns. Texts are read twice: for cutoffs and for verdicts."""
+    _, limits = _calibrated(docs, labels, alpha, delta)
+    return _verdict(measured(docs), limits).where("kept").select("_doc.*")
