@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.llm.shared import Staging, shipped, slices
+from starmart.llm.shared import Staging, gathered, shipped, slices, spaced
 
 BLOCK_CHARS = 16_000_000  # of text whose words get numbers of their own
 BUCKET_DOCS = 4_000  # documents for each group of distinct words, about
@@ -53,13 +53,8 @@ def _chunks(text: str, find) -> list[str]:
     No match reaches past a space that follows other text and starts a word, so the text is
     cut before those. Beside other white space the matches themselves are the pieces.
     """
-    if not text:
-        return []
-    first, *rest = text.split(" ")
-    chunks = [first, *[" " + c for c in rest]] if first else [" " + c for c in rest]
-    if first[:1].isspace() or any(c[-1:].isspace() or c[1:2].isspace() for c in chunks):
-        return find(text)
-    return chunks
+    words = spaced(text)
+    return find(text) if words is None else [*words[:1], *[" " + w for w in words[1:]]]
 
 
 def _block(doc_ids: list, texts: list[str], number: int, buckets: int, find) -> pd.DataFrame:
@@ -144,12 +139,6 @@ def encoded_words(words: DataFrame, vocabulary: Broadcast, pattern: str) -> Data
     return met.mapInPandas(run, "block long, numbers array<int>, sizes array<int>, ids binary")
 
 
-def _spread(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """``values[start:start + size]`` for each start and size, one after the other."""
-    before = np.cumsum(sizes) - sizes
-    return values[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
-
-
 def _document_ids(place: pd.Series, found: pd.DataFrame) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids) of a block's documents, put together by position."""
     numbers = np.concatenate([np.zeros(0, np.int64), *[np.asarray(n, np.int64) for n in found["numbers"]]])
@@ -162,8 +151,8 @@ def _document_ids(place: pd.Series, found: pd.DataFrame) -> Iterator[tuple[int |
     at, end = _unpacked(place["data"]), np.cumsum(np.asarray(place["sizes"], np.int64))
     for doc_id, n, e in zip(place["doc_ids"], place["sizes"], end):
         chunk = at[e - n : e]
-        words = _spread(parts, first[chunk], heads[chunk])
-        yield doc_id, _spread(ids, start[words], size[words])
+        words = gathered(parts, first[chunk], heads[chunk])
+        yield doc_id, gathered(ids, start[words], size[words])
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, finish=None, kind: str = "doc_id long, ids array<int>") -> DataFrame:

@@ -10,14 +10,15 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from starmart.llm.shared import Staging, shipped, slices
+from starmart.llm.shared import Staging, gathered, shipped, slices, spaced
 
 LENGTH = 2048  # tokens of a sequence
 END = 0  # id that ends a document
 OPEN_BINS = 8_192  # sequences that a task keeps open at most
 TASK_PIECES = 20_000  # pieces that a packing task gets, about
 CHARS = 4_000_000
-KNOWN = 300_000  # chunks of text whose ids a task remembers
+KNOWN = 1_000_000  # words whose ids a task remembers, about
+TOGETHER = 1_000  # words that are encoded in one text
 
 
 # --- tokens -----------------------------------------------------------------
@@ -26,41 +27,69 @@ KNOWN = 300_000  # chunks of text whose ids a task remembers
 class Encoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library.
 
-    Such a tokenizer never merges across a space that follows other text and starts a word. So a
-    text is cut before single spaces and each different chunk is encoded once. Texts with
-    other white space beside a space are encoded whole.
+    Texts are cut at their spaces where that cannot change the ids (see ``spaced``), and each
+    different word is encoded once while it is remembered. New words are encoded together, a
+    space before each; the lengths of the tokens tell where a word ends.
     """
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(content.decode("utf-8"))
+        self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.known: dict[str, np.ndarray] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)  # such vocabularies write each byte as one character
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of words that follow a space."""
+        runs = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        flat, sizes = [self.flat], [self.size]
+        for run, ids in zip(runs, self._encoded([" " + " ".join(run) for run in runs])):
+            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in run])
+            token_ends = np.cumsum(self.bytes[ids])
+            after = np.searchsorted(token_ends, ends) + 1
+            if len(ids) and token_ends[-1] == ends[-1] and np.array_equal(token_ends[after - 1], ends):
+                flat.append(ids)
+                sizes.append(np.diff(after, prepend=0))
+            else:  # not a vocabulary of bytes: word by word
+                each = self._encoded([" " + w for w in run])
+                flat.extend(each)
+                sizes.append(np.array([len(i) for i in each], np.int64))
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.flat, self.size = np.concatenate(flat), np.concatenate(sizes)
+        self.start = np.cumsum(self.size) - self.size
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as one call of the tokenizer on it would give them."""
         if len(self.known) > KNOWN:
-            self.known.clear()
-        known, cuts, new = self.known, [], {}
-        for text in texts:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + c for c in rest]] if first else [" " + c for c in rest]
-            plain = all(c[-1:] and not c[-1].isspace() and not c[1:2].isspace() for c in chunks) if text else True
-            if not plain or first[:1].isspace():
-                chunks = [text]
-            cuts.append(chunks if text else [])
-            new.update((c, None) for c in cuts[-1] if c not in known)
-        for chunk, found in zip(new, self._encoded(list(new))):
-            known[chunk] = found
-        return [np.concatenate([known[c] for c in chunks]) if chunks else np.zeros(0, np.uint32) for chunks in cuts]
+            self._forget()
+        cuts = [spaced(t) for t in texts]
+        rest = [w for words in cuts if words for w in words[1:]]
+        new = list(set(rest).difference(self.known))
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, rest), np.int64, len(rest))
+        heads = self._encoded([t if words is None else words[0] if words else "" for t, words in zip(texts, cuts)])
+        out, done = [], 0
+        for words, head in zip(cuts, heads):
+            n = len(words) - 1 if words else 0
+            own = at[done : done + n]
+            done += n
+            out.append(np.concatenate([head, gathered(self.flat, self.start[own], self.size[own])]))
+        return out
 
 
 def cut(size: int, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -79,7 +108,7 @@ def pieces(docs: DataFrame, tokenizer: str, keep_ids: bool = True, length: int =
     content = shipped(docs.sparkSession, tokenizer)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(content.value)
+        encoder = Encoder(content.value.decode("utf-8"))
 
         def work(part: pd.DataFrame) -> pd.DataFrame:
             rows = []

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -46,3 +48,27 @@ def slices(
                 yield work(part.reset_index(drop=True))
 
     return run
+
+
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+_BESIDE = re.compile(r" \s|\s |^\s|\s$")
+
+
+def spaced(text: str) -> list[str] | None:
+    """A text cut at its spaces, if every space stands between two words' characters, else None.
+
+    The usual byte-level patterns match no further than to such a space, which
+    begins the next word. So the parts after the first, with a space before each, can be split and
+    encoded one by one. White space at the ends or beside a space is not that simple.
+    """
+    if not text:
+        return []
+    # Counting is much faster than searching: often every white space is a single one.
+    single = len(text.split()) == 1 + sum(map(text.count, _SPACES))
+    return text.split(" ") if single or not _BESIDE.search(text) else None
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``values[start:start + size]`` for each start and size, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return values[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
