@@ -36,8 +36,9 @@ _READ_TYPES = {
     "month_num": "int",
 }
 
-# A dimension of at most this many rows is broadcast and needs no skew handling.
-SMALL_DIMENSION_ROWS = 20_000
+# A dimension whose needed columns take at most this many bytes, by the statistics of its
+# stored table, is broadcast and needs no skew handling.
+BROADCAST_BYTES = 8_000_000
 
 
 def full_name(name: str) -> Column:
@@ -45,12 +46,24 @@ def full_name(name: str) -> Column:
     return F.concat_ws(" ", *FULL_NAMES[name])
 
 
-def attach(fact: DataFrame, dim: DataFrame, key: str, take: list[str]) -> DataFrame:
-    """Left join a dimension on its key. The size of the dimension is checked first."""
+def estimated_bytes(df: DataFrame) -> int:
+    """What Spark's statistics say about the size of ``df``; nothing is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def attach(
+    rows: DataFrame, fact: DataFrame, dim: DataFrame, key: str, take: list[str], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Left join a dimension to ``rows`` on its key.
+
+    Beyond ``broadcast_bytes`` the join shuffles. The frequent keys it needs are then counted
+    on ``fact``, the plain table behind ``rows``, and not on what is joined already: so each
+    large dimension adds the same to the plan.
+    """
     table = dim.select(key, *take)
-    if table.count() <= SMALL_DIMENSION_ROWS:
-        return fact.join(F.broadcast(table), key, "left")
-    return lookup(fact, table, [key], take, frequent=frequent_rows(fact, table, [key]))
+    if estimated_bytes(table) <= broadcast_bytes:
+        return rows.join(F.broadcast(table), key, "left")
+    return lookup(rows, table, [key], take, frequent=frequent_rows(fact, table, [key]))
 
 
 def enrich(
@@ -58,6 +71,7 @@ def enrich(
     dims: Mapping[str, DataFrame],
     needed: Iterable[str] | None = None,
     exact: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Fact columns, dimension attributes and derived names, typed for analysis.
 
@@ -65,11 +79,14 @@ def enrich(
 
     ``needed`` names the wanted columns. A dimension that gives none of them is
     not joined at all: keys are unique, so its join could not change anything
-    else, but the optimiser cannot know that.
+    else, but the optimiser cannot know that. ``dims`` may lack dimensions; a
+    derived name is left out if its parts are.
     """
     everything = [c for name in DIMENSION_KEYS if name in dims for c in dims[name].columns]
     if needed is None:
-        wanted = list(dict.fromkeys([*fact.columns, *everything, *FULL_NAMES]))
+        known = {*fact.columns, *everything}
+        names = [name for name, parts in FULL_NAMES.items() if known.issuperset(parts)]
+        wanted = list(dict.fromkeys([*fact.columns, *everything, *names]))
     else:
         wanted = list(needed)
     sources = set(wanted)
@@ -85,7 +102,7 @@ def enrich(
             continue
         take = [c for c in dims[name].columns if c in sources and c not in rows.columns]
         if take:
-            rows = attach(rows, dims[name], key, take)
+            rows = attach(rows, fact, dims[name], key, take, broadcast_bytes)
     return rows.select(*[_enriched_column(c, exact) for c in wanted])
 
 

@@ -29,16 +29,13 @@ def _own_columns() -> dict:
 
 
 def resolve_store_key(df: DataFrame, stores: DataFrame, natural_key: Sequence[str]) -> DataFrame:
-    """Add ``store_key``; the natural key columns come back with NULL as empty text."""
-    others = [c for c in df.columns if c not in natural_key]
-    table = stores.select("store_key", *blank_nulls(natural_key), MEMBER_ROWS)
-    return lookup(
-        df.select(*others, *blank_nulls(natural_key)),
-        table,
-        natural_key,
-        ["store_key"],
-        frequent=frequent_members(table, MEMBER_ROWS),
-    )
+    """Add ``store_key``. NULL counts as empty text in the comparison; the columns stay as they are."""
+    parts = {c: f"_part_{c}" for c in natural_key}
+    blanks = [blank.alias(parts[c]) for c, blank in zip(natural_key, blank_nulls(natural_key))]
+    table = stores.select("store_key", *blanks, MEMBER_ROWS)
+    frequent = frequent_members(table, MEMBER_ROWS)
+    found = lookup(df.select("*", *blanks), table, list(parts.values()), ["store_key"], frequent=frequent)
+    return found.drop(*parts.values())
 
 
 def resolve_supplier_key(

@@ -28,10 +28,11 @@ _SPREAD_BITS = 20
 def with_spread(df: DataFrame) -> DataFrame:
     """Add numbers by which even equal rows can be scattered over a shuffle.
 
-    The numbers depend on row positions, so the result has to be stored before a
+    The numbers are hashes of partition and position, so many small partitions spread as well
+    as a few large ones. They depend on row positions, so the result has to be stored before a
     shuffle uses them: read back, a row has the same number on every attempt.
     """
-    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SPREAD_BITS) - 1))
+    number = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << _SPREAD_BITS) - 1))
     return df.withColumn(SPREAD, number.cast("int"))
 
 

@@ -277,3 +277,6 @@ ORACLES: dict[str, str] = {
     ),
     "full_refresh_idempotent": _with(_MARTS["mart_sales_customers"]),
 }
+
+# Another plan for the same rows.
+ORACLES["enriched_sales_large_dims"] = ORACLES["enriched_sales"]

@@ -36,39 +36,57 @@ def run_star_job(
 ) -> dict[str, int]:
     """CSV files to raw table, star tables and rejects; the rows written per table.
 
-    Rejects go to ``rejects_to``, or beside the star tables if those are files.
+    Rejects go to ``rejects_to``, or beside the star tables if those are files; a
+    database target needs ``rejects_to``, so that no value is lost unseen.
 
     The files are parsed once. All parts of the star then read the staged,
     typed records, of which each part scans only its own columns. The star is
     complete and checked in staging before any target table changes.
     """
+    losses = rejects_to or (target if isinstance(target, ParquetStore) else None)
+    if losses is None:
+        raise ValueError("a database target needs a folder for rejects (--rejects)")
     staging = Staging(spark)
     try:
         raw = stage_records(load_sales(spark, root, name_glob, RAW, multi_line, same_header), staging)
         rejects = explode_rejects(raw, REJECTED)
         draft = ParquetStore(spark, f"{staging.root}/star")
         Star(raw, staging).store(draft)
-        check_star(draft)
+        check_star(draft, raw.count())
         written = {RAW_TABLE: target.write(raw, RAW_TABLE, RAW)}
         for name in STAR_TABLES:
             written[name] = target.write(draft.read(name), name, STAR[name])
-        losses = rejects_to or (target if isinstance(target, ParquetStore) else None)
-        if losses:
-            written[REJECTS_TABLE] = losses.write(rejects, REJECTS_TABLE, rejects.schema)
+        written[REJECTS_TABLE] = losses.write(rejects, REJECTS_TABLE, rejects.schema)
         return written
     finally:
         staging.drop()
 
 
-def check_star(store: ParquetStore) -> None:
-    """Stop before publishing a star with repeated, missing or unresolved keys."""
+def check_star(store: ParquetStore, raw_rows: int | None = None) -> None:
+    """Stop before publishing a star with repeated, missing or unresolved keys, or with lost sales.
+
+    ``sale_key`` numbers the sales 1..N, so one pass without a shuffle checks it: least, largest,
+    sum and sum of squares of N different whole numbers of that range are all known.
+    """
     fact = store.read("fact_sales")
-    checks = {f"key of {name}": check_unique(store.read(name), [STAR[name].names[0]]) for name in STAR_TABLES}
+    checks = {f"key of {name}": check_unique(store.read(name), [STAR[name].names[0]]) for name in DIMENSIONS}
     for name in DIMENSIONS:
         key = DIMENSION_KEYS[name]
         checks[f"{key} of fact_sales"] = check_foreign_key(fact, key, store.read(name))
     clean = at_once({what: violations.isEmpty for what, violations in checks.items()})
     broken = [what for what, passed in clean.items() if not passed]
+
+    wide = F.col("sale_key").cast("decimal(38,0)")
+    n, filled, low, high, total, squares, storeless = fact.agg(
+        F.count(F.lit(1)), F.count("sale_key"), F.min("sale_key"), F.max("sale_key"), F.sum(wide), F.sum(wide * wide),
+        F.count_if(F.col("store_key").isNull()),
+    ).first()
+    if n and (filled, low, high, total, squares) != (n, 1, n, n * (n + 1) // 2, n * (n + 1) * (2 * n + 1) // 6):
+        broken.append("key of fact_sales")
+    if storeless:
+        broken.append(f"store_key of fact_sales is NULL in {storeless} rows")
+    if raw_rows is not None and raw_rows != n:
+        broken.append(f"fact_sales has {n} of {raw_rows} raw records")
     if broken:
         raise ValueError(f"star not published, rules broken: {', '.join(broken)}")
 

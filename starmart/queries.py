@@ -183,6 +183,12 @@ def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(enrich(store.read("fact_sales"), stored_dims(store)))
 
 
+def enriched_sales_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every dimension joined as if it were too large to broadcast."""
+    store = _stored_star(spark, sf_dir)
+    return plain(enrich(store.read("fact_sales"), stored_dims(store), broadcast_bytes=0))
+
+
 # --- marts ------------------------------------------------------------------
 
 # Raw columns behind each dimension a mart reads.
@@ -263,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "lookup_supplier_key_nullsafe": _supplier_lookup(null_safe=True),
     "fact_sales": fact_sales,
     "enriched_sales": enriched_sales,
+    "enriched_sales_large_dims": enriched_sales_large_dims,
     **{name: _mart(name) for name in MARTS},
     "dq_pk_violations": dq_pk_violations,
     "dq_fk_violations": dq_fk_violations,

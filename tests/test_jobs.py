@@ -5,7 +5,7 @@ from conftest import write_sales
 from starmart.contracts import MARTS, RAW, STAR
 from starmart.plans.jobs import RAW_TABLE, REJECTS_TABLE, check_star, run_marts_job, run_star_job
 from starmart.plans.star import STAR_TABLES
-from starmart.sources.tables import ParquetStore, count_tables
+from starmart.sources.tables import JdbcStore, ParquetStore, count_tables
 
 
 def _files(root, files=10, rows=30):
@@ -67,3 +67,31 @@ def test_a_broken_star_is_not_published(spark, tmp_path):
         broken.write(df, name, STAR[name])
     with pytest.raises(ValueError, match="key of dim_stores, product_key of fact_sales"):
         check_star(broken)
+
+
+def test_lost_sales_and_stores_are_not_published(spark, tmp_path):
+    _files(tmp_path, files=1)
+    store = ParquetStore(spark, str(tmp_path / "tables"))
+    written = run_star_job(spark, str(tmp_path), store)
+    check_star(store, written[RAW_TABLE])
+    broken = ParquetStore(spark, str(tmp_path / "broken"))
+    for name in STAR_TABLES:
+        df = store.read(name)
+        if name == "fact_sales":
+            df = df.where("sale_key <= 15").withColumn("store_key", F.lit(None).cast("bigint"))
+        broken.write(df, name, STAR[name])
+    with pytest.raises(ValueError, match="store_key of fact_sales is NULL in 15 rows, fact_sales has 15 of 30"):
+        check_star(broken, written[RAW_TABLE])
+    twice = ParquetStore(spark, str(tmp_path / "twice"))
+    for name in STAR_TABLES:
+        df = store.read(name)
+        if name == "fact_sales":
+            df = df.withColumn("sale_key", F.when(F.col("sale_key") == 7, 8).otherwise(F.col("sale_key")))
+        twice.write(df, name, STAR[name])
+    with pytest.raises(ValueError, match="key of fact_sales"):
+        check_star(twice)
+
+
+def test_a_database_needs_a_place_for_rejects(spark, tmp_path):
+    with pytest.raises(ValueError, match="rejects"):
+        run_star_job(spark, str(tmp_path), JdbcStore(spark, "jdbc:none", {}))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import typed_sales
 from starmart.contracts import MARTS as CONTRACTS
 from starmart.operators import enrich as enrich_module
-from starmart.operators.enrich import enrich
+from starmart.operators.enrich import DIMENSION_KEYS, enrich
 from starmart.operators.marts import MARTS, mart_from_star, sales_mart
 from starmart.plans.marts import mart_of, shared_groups
 from starmart.plans.star import Star, stored_dims
@@ -52,7 +52,7 @@ def test_large_dimensions_give_the_same_marts(stored, name, no_broadcast, monkey
     """As above, with every dimension too large to broadcast."""
     fact, dims = stored.read("fact_sales"), stored_dims(stored)
     expected = _rows(mart_from_star(name, fact, dims))
-    monkeypatch.setattr(enrich_module, "SMALL_DIMENSION_ROWS", 0)
+    monkeypatch.setattr(enrich_module, "estimated_bytes", lambda df: 1 << 60)
     assert _rows(mart_from_star(name, fact, dims)) == expected
     measured = ["source_sale_id", "sale_quantity", "sale_total_price"]
     needed = [*MARTS[name].keys, *measured, "product_price", "product_rating", "product_reviews"]
@@ -148,3 +148,22 @@ def test_enrich_joins_only_what_is_needed(stored):
     )
     assert {"customer_name", "seller_name", "full_date"} <= set(whole.columns)
     assert whole.where(F.col("full_date") == datetime.date(2021, 1, 1)).where("day_num != 1").isEmpty()
+
+
+def test_large_dimensions_add_the_same_to_the_plan(spark, tmp_path):
+    """Reads of the fact in the optimised plan, for one to six dimensions beyond the bound."""
+    fact = spark.range(100).select(
+        F.col("id").alias("sale_key"), *[(F.col("id") % 10).alias(k) for k in DIMENSION_KEYS.values()]
+    )
+    fact.write.parquet(str(tmp_path / "the_fact"))
+    fact, dims, reads = spark.read.parquet(str(tmp_path / "the_fact")), {}, []
+    for name, key in DIMENSION_KEYS.items():
+        dim = spark.range(10).select(F.col("id").alias(key), F.concat(F.lit(name), "id").alias(f"of_{name}"))
+        dim.write.parquet(str(tmp_path / name))
+        dims[name] = spark.read.parquet(str(tmp_path / name))
+        joined = enrich(fact, dims, broadcast_bytes=0)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        reads.append(sum("Relation" in line and "sale_key" in line for line in plan.splitlines()))
+    steps = {b - a for a, b in zip(reads, reads[1:])}
+    assert len(steps) == 1 and max(steps) <= 2
+    assert joined.count() == 100 and joined.where("of_dim_dates IS NULL").isEmpty()
