@@ -18,7 +18,7 @@ BLOCK_CHARS = 16_000_000  # of text whose words get numbers of their own
 BUCKET_DOCS = 4_000  # documents for each group of distinct words, about
 MIN_BUCKETS = 256
 
-BLOCK = "block long, bucket int, doc_ids array<long>, sizes array<int>, data binary, heads array<int>, tails array<int>"
+BLOCK = "block long, bucket int, doc_ids array<long>, sizes binary, data binary, heads binary, tails binary"
 
 
 # --- vocabulary -------------------------------------------------------------
@@ -39,7 +39,7 @@ def encoding(content: bytes, pattern: str):
 
 def _packed(numbers: np.ndarray) -> bytes:
     """32-bit numbers, byte by byte of all of them, so that the high bytes compress."""
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zlib.compress(np.asarray(numbers, np.int64).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -76,14 +76,16 @@ def _block(doc_ids: list, texts: list[str], number: int, buckets: int, find) ->
         found = [words.setdefault(w, len(words)) for w in find(chunks[at])]
         heads[k] = len(found)
         parts.extend(found)
-    rows = [(number, -1, doc_ids, sizes, _packed(rank[places]), heads.tolist(), parts)]
+    rows = [(number, -1, doc_ids, _packed(np.array(sizes)), _packed(rank[places]), _packed(heads), _packed(np.array(parts)))]
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
     chosen = np.array([zlib.crc32(w) % buckets for w in raw], np.int64)
     by_bucket = np.argsort(chosen, kind="stable")
     edges = np.flatnonzero(np.diff(chosen[by_bucket], prepend=-1))
     for own in np.split(by_bucket, edges[1:]) if len(raw) else []:
         kept = [raw[i] for i in own.tolist()]
-        rows.append((number, int(chosen[own[0]]), None, [len(w) for w in kept], b"".join(kept), own.astype(np.int32).tolist(), None))
+        steps = np.diff(own, prepend=0)  # the numbers rise, so their steps are small
+        lengths = _packed(np.array([len(w) for w in kept]))
+        rows.append((number, int(chosen[own[0]]), None, lengths, zlib.compress(b"".join(kept), 1), _packed(steps), None))
     return pd.DataFrame(rows, columns=["block", "bucket", "doc_ids", "sizes", "data", "heads", "tails"])
 
 
@@ -126,30 +128,31 @@ def encoded_words(words: DataFrame, vocabulary: Broadcast, pattern: str) -> Data
             for row in batch.itertuples(index=False):
                 if row.bucket != bucket:
                     bucket, known = row.bucket, {}
-                words = [row.data[e - n : e] for n, e in zip(row.sizes, np.cumsum(row.sizes))]
+                lengths, data = _unpacked(row.sizes), zlib.decompress(row.data)
+                words = [data[e - n : e] for n, e in zip(lengths.tolist(), np.cumsum(lengths).tolist())]
                 for w in words:
                     if w not in known:
                         known[w] = encoder.encode_ordinary(w.decode("utf-8", "surrogatepass"))
                 ids = [known[w] for w in words]
                 flat = np.array([i for found in ids for i in found], np.int64)
-                out.append((row.block, row.heads, [len(i) for i in ids], _packed(flat)))
+                out.append((row.block, row.heads, _packed(np.array([len(i) for i in ids])), _packed(flat)))
             yield pd.DataFrame(out, columns=["block", "numbers", "sizes", "ids"])
 
     met = words.repartition("bucket").sortWithinPartitions("bucket")
-    return met.mapInPandas(run, "block long, numbers array<int>, sizes array<int>, ids binary")
+    return met.mapInPandas(run, "block long, numbers binary, sizes binary, ids binary")
 
 
 def _document_ids(place: pd.Series, found: pd.DataFrame) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids) of a block's documents, put together by position."""
-    numbers = np.concatenate([np.zeros(0, np.int64), *[np.asarray(n, np.int64) for n in found["numbers"]]])
-    sizes = np.concatenate([np.zeros(0, np.int64), *[np.asarray(n, np.int64) for n in found["sizes"]]])
+    numbers = np.concatenate([np.zeros(0, np.int64), *[np.cumsum(_unpacked(n)) for n in found["numbers"]]])
+    sizes = np.concatenate([np.zeros(0, np.int64), *[_unpacked(n) for n in found["sizes"]]])
     ids = np.concatenate([np.zeros(0, np.int64), *[_unpacked(d) for d in found["ids"]]])
     start, size = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     start[numbers], size[numbers] = np.cumsum(sizes) - sizes, sizes
-    heads, parts = np.asarray(place["heads"], np.int64), np.asarray(place["tails"], np.int64)
+    heads, parts, counts = (_unpacked(place[c]) for c in ("heads", "tails", "sizes"))
     first = np.cumsum(heads) - heads
-    at, end = _unpacked(place["data"]), np.cumsum(np.asarray(place["sizes"], np.int64))
-    for doc_id, n, e in zip(place["doc_ids"], place["sizes"], end):
+    at, end = _unpacked(place["data"]), np.cumsum(counts)
+    for doc_id, n, e in zip(place["doc_ids"], counts, end):
         chunk = at[e - n : e]
         words = gathered(parts, first[chunk], heads[chunk])
         yield doc_id, gathered(ids, start[words], size[words])
