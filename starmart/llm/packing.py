@@ -105,10 +105,12 @@ def pieces(docs: DataFrame, tokenizer: str, keep_ids: bool = True, length: int =
     A document's ids are those of its whole text, NULL counting as empty, and ``END``.
     ``tokenizer`` is the path of a file that the driver reads and sends to the tasks.
     """
-    content = shipped(docs.sparkSession, tokenizer)
+    content = docs.sparkSession.sparkContext.broadcast({"file": shipped(docs.sparkSession, tokenizer).value})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(content.value.decode("utf-8"))
+        held = content.value  # one per Python worker, so later tasks find the encoder and what it knows
+        encoder = held.setdefault("encoder", None) or Encoder(held["file"].decode("utf-8"))
+        held["encoder"] = encoder
 
         def work(part: pd.DataFrame) -> pd.DataFrame:
             rows = []
