@@ -14,6 +14,7 @@ from starmart.llm.shared import Staging, fold, slices
 FOLDS, HELD = 4, 2
 SIZES = (3, 4)  # code points of an n-gram
 SAMPLE = 3_000  # labelled documents per language at most that the filters are made from
+PART_BITS = 12  # of a hash: a language's documents are dealt into 4096 parts
 GRAMS = 20_000  # n-grams per language and size at most that are put into a filter
 COVERAGE = 0.95  # share of the sample's n-grams that those put in have to cover
 CELLS = 1 << 20  # of the filters; a cell has a bit per language
@@ -102,22 +103,20 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def learned(docs: DataFrame, sample: int = SAMPLE) -> dict:
     """Filters of the n-grams of each language in ``lang``, from whole texts.
 
-    Of a language's documents outside fold ``HELD`` at most ``sample`` are used, those with the
-    smallest hashes of their ids. Put in are its most frequent n-grams, up to the
+    Hashes of ids deal a language's documents outside fold ``HELD`` into equal parts, of which as many are
+    used as ``sample`` documents hold, and one at least. Put in are its most frequent n-grams, up to the
     ``COVERAGE`` of all that occur, and ``GRAMS`` of each size at most: so the driver gets a
     bounded number of them per language. Where a text is NULL or a language has
     no n-grams, nothing is learned.
     """
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(fold(F.col("doc_id"), FOLDS) != HELD)
-    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-    share = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # Hashes are uniform, so of a large language the window need not see those far above the sample.
-    near = ids.join(share, "lang").where(F.col("h") / float(1 << 63) <= 4.0 * sample / F.col("n") - 1)
-    last = near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample)
+    part = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - PART_BITS)
+    sizes = rows.groupBy("lang", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("lang").orderBy("part"))
+    taken = sizes.withColumn("so_far", so_far).where((F.col("so_far") <= sample) | (F.col("so_far") == F.col("n")))
     # Stored, so that Spark knows how small it is when it chooses the join.
-    last = Staging(docs.sparkSession).keep(last.groupBy("lang").agg(F.max("h").alias("last")), "sample")
-    picked = rows.join(last, "lang").where(F.xxhash64("doc_id") <= F.col("last"))
+    last = Staging(docs.sparkSession).keep(taken.groupBy("lang").agg(F.max("part").alias("last")), "sample")
+    picked = rows.join(last, "lang").where(part <= F.col("last"))
     counted = picked.select(F.col("lang").cast("string").alias("lang"), "text").mapInPandas(
         _counted, "lang string, n int, gram long, times long"
     )
