@@ -9,14 +9,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.llm.shared import Staging, gathered, shipped, slices, spaced
+from starmart.llm.shared import Staging, gathered, shipped, slices, spaced, stored_by
 
 BLOCK_CHARS = 16_000_000  # of text whose words get numbers of their own
 BUCKET_DOCS = 4_000  # documents for each group of distinct words, about
 MIN_BUCKETS = 256
+MIN_GROUPS, MOST_GROUPS = 64, 50_000  # groups that the blocks are stored in; a group can hold many blocks
+LEVEL = 3  # of compression
 
 BLOCK = "block long, bucket int, doc_ids array<long>, sizes binary, data binary, heads binary, tails binary"
 
@@ -39,11 +42,11 @@ def encoding(content: bytes, pattern: str):
 
 def _packed(numbers: np.ndarray) -> bytes:
     """32-bit numbers, byte by byte of all of them, so that the high bytes compress."""
-    return zlib.compress(np.asarray(numbers, np.int64).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zstandard.compress(np.asarray(numbers, np.int64).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), LEVEL)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
@@ -85,7 +88,7 @@ def _block(doc_ids: list, texts: list[str], number: int, buckets: int, find) ->
         kept = [raw[i] for i in own.tolist()]
         steps = np.diff(own, prepend=0)  # the numbers rise, so their steps are small
         lengths = _packed(np.array([len(w) for w in kept]))
-        rows.append((number, int(chosen[own[0]]), None, lengths, zlib.compress(b"".join(kept), 1), _packed(steps), None))
+        rows.append((number, int(chosen[own[0]]), None, lengths, zstandard.compress(b"".join(kept), LEVEL), _packed(steps), None))
     return pd.DataFrame(rows, columns=["block", "bucket", "doc_ids", "sizes", "data", "heads", "tails"])
 
 
@@ -128,7 +131,7 @@ def encoded_words(words: DataFrame, vocabulary: Broadcast, pattern: str) -> Data
             for row in batch.itertuples(index=False):
                 if row.bucket != bucket:
                     bucket, known = row.bucket, {}
-                lengths, data = _unpacked(row.sizes), zlib.decompress(row.data)
+                lengths, data = _unpacked(row.sizes), zstandard.decompress(row.data)
                 words = [data[e - n : e] for n, e in zip(lengths.tolist(), np.cumsum(lengths).tolist())]
                 for w in words:
                     if w not in known:
@@ -163,7 +166,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, finish=None, kind: str = "
 
     Pre-tokens are the matches of ``pattern``; each is encoded by the ranks in the file
     ``path``, without special tokens. The corpus's distinct pre-tokens are shuffled, encoded once
-    each, joined back by block and put together by position (see ``blocks``).
+    each, joined back by block and put together by position (see ``blocks``). The places are stored
+    grouped by block, so that only words and their ids move.
     ``finish`` maps (doc_id, ids) to another row of type ``kind`` where the ids lie.
 
     A NULL or empty text has no ids. Repeated rows and rows without an id stay. A hot word
@@ -172,8 +176,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, finish=None, kind: str = "
     """
     spark, staging = docs.sparkSession, Staging(docs.sparkSession)
     vocabulary = shipped(spark, path)
-    buckets = max(MIN_BUCKETS, docs.count() // BUCKET_DOCS)
-    made = staging.keep(blocks(docs, pattern, buckets), "blocks")
+    shares = docs.count() // BUCKET_DOCS
+    buckets = max(MIN_BUCKETS, shares)
+    groups = min(max(MIN_GROUPS, shares), MOST_GROUPS)
+    made = stored_by(blocks(docs, pattern, buckets), "block", groups, "blocks", staging)
     found = encoded_words(made.where("bucket >= 0").select("block", "bucket", "sizes", "data", "heads"), vocabulary, pattern)
     names = [part.split()[0] for part in kind.split(", ")]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +28,19 @@ def stored(df: DataFrame, name: str, staging: Staging | None = None) -> DataFram
     return (staging or Staging(df.sparkSession)).keep(df, name)
 
 
+def stored_by(df: DataFrame, key: str, groups: int, name: str, staging: Staging) -> DataFrame:
+    """``df`` written once to the shared folder in ``groups`` buckets of ``key``, and read back from there.
+
+    Joins on ``key`` leave these rows where they are. The catalog entry is dropped again at
+    once; the reader that is returned knows the files.
+    """
+    spark, entry = df.sparkSession, f"stored_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(groups, key).option("path", staging.path(name)).saveAsTable(entry)
+    read = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")
+    return read
+
+
 def shipped(spark: SparkSession, path: str) -> Broadcast:
     """A vocabulary file's content, read by the driver; it is as large as the vocabulary, whatever the corpus."""
     with open(path, "rb") as file:
