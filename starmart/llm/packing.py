@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -19,17 +20,53 @@ TASK_PIECES = 20_000  # pieces that a packing task gets, about
 CHARS = 4_000_000
 KNOWN = 1_000_000  # words whose ids a task remembers, about
 TOGETHER = 1_000  # words that are encoded in one text
+SETTLED = "\u0500"  # below, all libraries agree what is a letter
 
 
 # --- tokens -----------------------------------------------------------------
 
+# What the byte-level split of such files stands for, and the settings of files without extras.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+PLAIN_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "ignore_merges": False}
+
+
+def by_ranks(content: str):
+    """The same vocabulary as ranks of byte strings for tiktoken, or None where the two could differ.
+
+    They agree if merges make the ids after the bytes' own in rising order, if nothing else but the byte-level
+    split is done, and if the merges make every token from its own bytes: then two neighbours that spell
+    a token can only be the pair of its merge.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    held = json.loads(content)
+    model = held["model"]
+    if held["normalizer"] or held["pre_tokenizer"] != PLAIN or any(model.get(k) != v for k, v in PLAIN_MODEL.items()):
+        return None
+    vocabulary = model["vocab"]
+    made = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    letters = sorted(t for t in vocabulary if len(t) == 1)
+    if sorted(vocabulary.values()) != list(range(len(vocabulary))) or made != list(range(len(letters), len(vocabulary))):
+        return None
+    printed = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in printed]
+    of = {chr(b): b for b in printed} | {chr(256 + k): b for k, b in enumerate(other)}  # bytes without a sign get the next free code points
+    by_merges = Tokenizer.from_str(content).model.tokenize
+    if letters != sorted(of) or any([found.id for found in by_merges(t)] != [i] for t, i in vocabulary.items()):
+        return None
+    ranks = {bytes(of[c] for c in token): i for token, i in vocabulary.items()}
+    return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
 
 class Encoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library.
 
     Texts are cut at their spaces where that cannot change the ids (see ``spaced``), and each
     different word is encoded once while it is remembered. New words are encoded together, a
-    space before each; the lengths of the tokens tell where a word ends.
+    space before each; the lengths of the tokens tell where a word ends. Words of long-known letters
+    go through tiktoken where ``by_ranks`` has found that it gives the same ids.
     """
 
     def __init__(self, content: str):
@@ -40,6 +77,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.ranks = by_ranks(content)
         vocabulary = self.tokenizer.get_vocab()
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -55,9 +93,20 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of words that follow a space."""
-        runs = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        common, other = words, []
+        if self.ranks:
+            common = [w for w in words if w.isascii() or max(w) < SETTLED]
+            other = [w for w in words if not (w.isascii() or max(w) < SETTLED)]
+            words = common + other
+        runs = [part[k : k + TOGETHER] for part in (common, other) for k in range(0, len(part), TOGETHER)]
         flat, sizes = [self.flat], [self.size]
-        for run, ids in zip(runs, self._encoded([" " + " ".join(run) for run in runs])):
+        joined = [" " + " ".join(run) for run in runs]
+        if self.ranks:
+            n = -(-len(common) // TOGETHER)
+            found = [np.array(self.ranks.encode_ordinary(t), np.uint32) for t in joined[:n]] + self._encoded(joined[n:])
+        else:
+            found = self._encoded(joined)
+        for run, ids in zip(runs, found):
             ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in run])
             token_ends = np.cumsum(self.bytes[ids])
             after = np.searchsorted(token_ends, ends) + 1
