@@ -42,16 +42,16 @@ def parse_typed(df: DataFrame, schema: T.StructType, *extra: Column) -> DataFram
     return df.select(*typed, *extra)
 
 
-def parse_with_rejects(df: DataFrame, schema: T.StructType, keys: list[str], rejected: str) -> DataFrame:
+def parse_with_rejects(df: DataFrame, schema: T.StructType, keys: list[str], rejected: str, *extra: str) -> DataFrame:
     """Typed columns, and in ``rejected`` the values that typing lost, as an array.
 
     Each entry holds the row's ``keys`` as they were before typing, ``column_name`` and
     ``source_value``. Blank text is not a loss. Typing is a step of its own, so
-    each value is typed once for both uses.
+    each value is typed once for both uses. ``extra`` columns go along.
     """
     checked = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     text = {c: f"_text_{c}" for c in dict.fromkeys([*keys, *checked])}
-    typed = parse_typed(df, schema, *[F.col(c).alias(t) for c, t in text.items()])
+    typed = parse_typed(df, schema, *[F.col(c).alias(t) for c, t in text.items()], *[F.col(c) for c in extra])
     losses = [
         F.when(
             F.col(text[c]).isNotNull() & F.col(c).isNull(),
@@ -63,7 +63,7 @@ def parse_with_rejects(df: DataFrame, schema: T.StructType, keys: list[str], rej
         )
         for c in checked
     ]
-    return typed.select(*schema.names, F.array_compact(F.array(*losses)).alias(rejected))
+    return typed.select(*schema.names, F.array_compact(F.array(*losses)).alias(rejected), *extra)
 
 
 def explode_rejects(df: DataFrame, rejected: str) -> DataFrame:

@@ -212,6 +212,13 @@ ORACLES: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, {_TYPED["part_number"]} AS part_number, {_TYPED["quantity"]} AS quantity,
           CAST({_TYPED["price"]} AS DOUBLE) AS price, CAST({_TYPED["rating"]} AS DOUBLE) AS rating
         FROM ({_NUMBER_TEXT})""",
+    "rejects_malformed": """
+        SELECT l_orderkey AS sale_id,
+          CASE WHEN l_linenumber = 1
+            THEN concat_ws(',', l_orderkey, CAST(l_quantity AS INT), l_partkey, l_returnflag)
+            ELSE concat_ws(',', l_orderkey, CAST(l_quantity AS INT)) END AS source_text,
+          TRUE AS has_file
+        FROM lineitem WHERE l_linenumber IN (1, 2)""",
     "rejects": f"WITH t AS ({_NUMBER_TEXT})\n"
     + " UNION ALL ".join(
         f"SELECT l_orderkey, l_linenumber, '{c}' AS column_name, {c} AS source_value"

@@ -16,13 +16,14 @@ from starmart.operators.enrich import DIMENSION_KEYS
 from starmart.operators.quality import check_foreign_key, check_unique
 from starmart.plans.marts import store_marts
 from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records
-from starmart.sources.sales_csv import REJECTED, SALES_FILES, load_sales
+from starmart.sources.sales_csv import REJECTED, SALES_FILES, load_sales, malformed_rows
 from starmart.sources.settings import driver_jars, mart_database, source_root, star_database
 from starmart.sources.staging import Staging
 from starmart.sources.tables import JdbcStore, ParquetStore, at_once, count_tables
 
 RAW_TABLE = "mock_data"  # fixed value: name of the stored raw records
 REJECTS_TABLE = "rejects"
+MALFORMED_TABLE = "malformed_rows"
 
 
 def run_star_job(
@@ -39,27 +40,37 @@ def run_star_job(
     Rejects go to ``rejects_to``, or beside the star tables if those are files; a
     database target needs ``rejects_to``, so that no value is lost unseen.
 
+    Rows with too many or too few cells are kept as records and listed with file and text beside the rejects.
+
     The files are parsed once. All parts of the star then read the staged,
     typed records, of which each part scans only its own columns. The star is
-    complete and checked in staging before any target table changes.
+    complete and checked in a draft before any target table changes. The draft of a folder lies
+    below it, and its tables are moved to their places; a database gets them one after the other.
     """
     losses = rejects_to or (target if isinstance(target, ParquetStore) else None)
     if losses is None:
         raise ValueError("a database target needs a folder for rejects (--rejects)")
     staging = Staging(spark)
+    drafts = Staging(spark, f"{target.root}/_draft") if isinstance(target, ParquetStore) else staging
+    draft = ParquetStore(spark, f"{drafts.root}/star")
     try:
-        raw = stage_records(load_sales(spark, root, name_glob, RAW, multi_line, same_header), staging)
-        rejects = explode_rejects(raw, REJECTED)
-        draft = ParquetStore(spark, f"{staging.root}/star")
-        Star(raw, staging).store(draft)
+        raw = stage_records(load_sales(spark, root, name_glob, RAW, multi_line, same_header, malformed=True), staging)
+        lost = {REJECTS_TABLE: explode_rejects(raw, REJECTED), MALFORMED_TABLE: malformed_rows(raw)}
+        stored = Star(raw, staging).store(draft)
         check_star(draft, raw.count())
+        if isinstance(target, ParquetStore):
+            written = {RAW_TABLE: draft.write(raw, RAW_TABLE, RAW), **{name: stored[name] for name in STAR_TABLES}}
+            target_losses = draft if losses is target else losses
+            written |= {name: target_losses.write(df, name, df.schema) for name, df in lost.items()}
+            target.replace(draft, [name for name in written if name not in lost or losses is target])
+            return written
         written = {RAW_TABLE: target.write(raw, RAW_TABLE, RAW)}
         for name in STAR_TABLES:
             written[name] = target.write(draft.read(name), name, STAR[name])
-        written[REJECTS_TABLE] = losses.write(rejects, REJECTS_TABLE, rejects.schema)
-        return written
+        return written | {name: losses.write(df, name, df.schema) for name, df in lost.items()}
     finally:
         staging.drop()
+        drafts.drop()
 
 
 def check_star(store: ParquetStore, raw_rows: int | None = None) -> None:

@@ -23,7 +23,7 @@ from starmart.plans.layout import FULL
 from starmart.plans.marts import MART_DIMENSIONS, mart_of, store_marts
 from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records, stored_dims
 from starmart.plans.wide import table, wide_sales
-from starmart.sources.sales_csv import SOURCE_ID, load_sales
+from starmart.sources.sales_csv import SOURCE_ID, load_sales, malformed_rows
 from starmart.sources.staging import Staging
 from starmart.sources.tables import ParquetStore, count_tables
 
@@ -130,6 +130,24 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_rejects(_number_text(spark, sf_dir), NUMBER_TEXT, ["l_orderkey", "l_linenumber"])
 
 
+def rejects_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV text in which the first line of each order has a cell too many and the second one too few."""
+    line = F.col("l_linenumber")
+    layout = subset(RAW, ["sale_id", "sale_quantity", "sale_total_price"])
+    cells = F.concat_ws(
+        ",",
+        F.col("l_orderkey").cast("string"),
+        F.col("l_quantity").cast("int").cast("string"),
+        F.when(line != 2, F.col("l_partkey").cast("string")),
+        F.when(line == 1, F.col("l_returnflag")),
+    )
+    root = Staging(spark).path("csv")
+    lines = table(spark, sf_dir, "lineitem").select(cells.alias("id,sale_quantity,sale_total_price"))
+    lines.write.options(header=True, sep="\u0001").csv(root)
+    found = malformed_rows(load_sales(spark, root, "part-*.csv", layout, malformed=True))
+    return found.select("sale_id", "source_text", F.col("source_file").contains("part-").alias("has_file"))
+
+
 DATE_TEXT = contract("date: order_date")
 
 
@@ -263,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "typed_casts": typed_casts,
     "parse_dates": parse_dates,
     "rejects": rejects,
+    "rejects_malformed": rejects_malformed,
     **{name: _dimension(name) for name in DIMENSIONS},
     "lookup_store_key": lookup_store_key,
     "lookup_supplier_key": _supplier_lookup(null_safe=False),

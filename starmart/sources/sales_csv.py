@@ -7,7 +7,7 @@ import re
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starmart.contracts import RAW
 from starmart.functions.cleaning import normalize_strings, parse_with_rejects
@@ -18,6 +18,8 @@ SOURCE_ID = "id"
 SALE_ID = "sale_id"
 
 REJECTED = "rejected_values"
+MALFORMED = "malformed_row"  # struct of the file and the text of a row with too many or too few cells
+_ROW_TEXT = "_malformed_text"
 
 HEADER_READERS = 32  # files whose first line is read at the same time
 
@@ -51,6 +53,13 @@ def read_sales_csv(
     ``same_header`` promises one header for all files, so that only one of very
     many files is looked at. A file that breaks the promise stops the job.
     """
+    return _cleaned(spark, root, name_glob, schema, multi_line, same_header).drop(MALFORMED)
+
+
+def _cleaned(
+    spark: SparkSession, root: str, name_glob: str, schema: T.StructType, multi_line: bool, same_header: bool
+) -> DataFrame:
+    """What ``read_sales_csv`` returns, and ``MALFORMED``."""
     files = find_sales_files(spark, root, name_glob)
     if same_header:
         files = files[:1]
@@ -65,15 +74,18 @@ def read_sales_csv(
         missing = [name for name in schema.names if name not in names]
         if missing:
             raise ValueError(f"{paths[0]} lacks columns: {', '.join(missing)}")
-        text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        text = T.StructType([T.StructField(name, T.StringType()) for name in [*header, _ROW_TEXT]])
         reader = spark.read if len(groups) > 1 else _below(spark, root, name_glob)
         scan = (
             reader.schema(text)
             .options(header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE")
             .option("enforceSchema", False)  # a header that differs after all stops the job
+            .option("columnNameOfCorruptRecord", _ROW_TEXT)
             .csv([_literal(path) for path in paths] if len(groups) > 1 else root)
         )
-        part = normalize_strings(scan.withColumnRenamed(SOURCE_ID, SALE_ID)).select(*schema.names)
+        source = F.struct(F.col("_metadata.file_path").alias("source_file"), F.col(_ROW_TEXT).alias("source_text"))
+        malformed = F.when(F.col(_ROW_TEXT).isNotNull(), source).alias(MALFORMED)
+        part = normalize_strings(scan.withColumnRenamed(SOURCE_ID, SALE_ID).select(*schema.names, malformed))
         frame = part if frame is None else frame.unionByName(part)
     return frame
 
@@ -85,13 +97,21 @@ def load_sales(
     schema: T.StructType = RAW,
     multi_line: bool = True,
     same_header: bool = False,
+    malformed: bool = False,
 ) -> DataFrame:
     """Typed sales records, with the values that typing lost in ``REJECTED``.
 
-    Both come from one parse; ``explode_rejects`` makes the second a table.
+    ``malformed`` adds ``MALFORMED``, the file and text of a row with too many or too few
+    cells, else NULL. Such a row stays a record of the cells that it has. All
+    come from one parse; ``explode_rejects`` and ``malformed_rows`` make tables of the losses.
     """
-    text = read_sales_csv(spark, root, name_glob, schema, multi_line, same_header)
-    return parse_with_rejects(text, schema, [SALE_ID], REJECTED)
+    text = _cleaned(spark, root, name_glob, schema, multi_line, same_header)
+    return parse_with_rejects(text, schema, [SALE_ID], REJECTED, *([MALFORMED] if malformed else []))
+
+
+def malformed_rows(df: DataFrame) -> DataFrame:
+    """(``sale_id``, ``source_file``, ``source_text``) of the records whose row had too many or too few cells."""
+    return df.where(F.col(MALFORMED).isNotNull()).select(SALE_ID, f"{MALFORMED}.*")
 
 
 def _below(spark: SparkSession, root: str, name_glob: str):

@@ -5,6 +5,7 @@ Both stores have the same four methods, so a job does not know which it uses.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -54,6 +55,38 @@ class ParquetStore:
         counted.write.mode("overwrite" if refresh else "append").parquet(f"{self.root}/{table}")
         return rows.get["rows"]
 
+    def replace(self, draft: ParquetStore, tables: Sequence[str]) -> None:
+        """Move ``tables`` of ``draft``, on the same file system, in place of those here.
+
+        Nothing is copied. If a move fails, those before it are undone. Tables that were
+        here are set aside until all have moved; a driver that dies meanwhile leaves them in ``_old-...``.
+        """
+        jvm, aside = self.spark.sparkContext._jvm, f"{self.root}/_old-{uuid.uuid4().hex}"
+        place = jvm.org.apache.hadoop.fs.Path
+        files = place(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        absent = [t for t in tables if not files.exists(place(f"{draft.root}/{t}"))]
+        if absent:
+            raise FileNotFoundError(f"the draft lacks tables: {', '.join(absent)}")
+        files.mkdirs(place(aside))
+        moved: list[tuple[str, str]] = []
+
+        def move(old: str, new: str) -> None:
+            if not files.rename(place(old), place(new)):
+                raise OSError(f"cannot move {old} to {new}")
+            moved.append((old, new))
+
+        try:
+            for t in tables:
+                if files.exists(place(f"{self.root}/{t}")):
+                    move(f"{self.root}/{t}", f"{aside}/{t}")
+                move(f"{draft.root}/{t}", f"{self.root}/{t}")
+        except Exception:
+            for old, new in reversed(moved):
+                files.rename(place(new), place(old))
+            files.delete(place(aside), False)  # empty again, or else it stays
+            raise
+        files.delete(place(aside), True)
+
     def count(self, table: str) -> DataFrame:
         return self.read(table).agg(F.count(F.lit(1)).alias("row_count"))
 

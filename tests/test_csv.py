@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SALE, write_sales
 from starmart.contracts import RAW, subset
 from starmart.functions.cleaning import explode_rejects
-from starmart.sources.sales_csv import REJECTED, find_sales_files, load_sales, read_sales_csv
+from starmart.sources.sales_csv import REJECTED, find_sales_files, load_sales, malformed_rows, read_sales_csv
 
 
 def _load(spark, root, **options):
@@ -62,6 +62,18 @@ def test_bad_values_become_null_and_rejects(spark, tmp_path):
     assert df.where("sale_date is null").count() == 3
 
 
+def test_rows_with_other_cells_are_listed(spark, tmp_path):
+    header = ",".join(SALE)
+    plain = ["1" if c in ("id", "sale_quantity") else "" for c in SALE]
+    lines = [header, ",".join(plain), ",".join(["2", *plain[1:], "more", "cells"]), "3,1/5/2021", ""]
+    (tmp_path / "MOCK_DATA.csv").write_text("\n".join(lines))
+    write_sales(tmp_path / "MOCK_DATA_2.csv", {"id": "4", "product_description": "two\nlines"}, columns=list(reversed(SALE)))
+    df = load_sales(spark, str(tmp_path), malformed=True)
+    assert df.count() == 4
+    found = {r.sale_id: (r.source_file.split("/")[-1], r.source_text) for r in malformed_rows(df).collect()}
+    assert found == {2: ("MOCK_DATA.csv", lines[2]), 3: ("MOCK_DATA.csv", lines[3])}
+
+
 def test_ten_files_in_nested_folders(spark, tmp_path):
     for i in range(10):
         folder = tmp_path / "data" if i % 2 else tmp_path / "data" / "more" / str(i)

@@ -92,6 +92,31 @@ def test_lost_sales_and_stores_are_not_published(spark, tmp_path):
         check_star(twice)
 
 
+def test_a_load_that_fails_half_way_leaves_the_old_star(spark, tmp_path, monkeypatch):
+    _files(tmp_path, files=1)
+    store = ParquetStore(spark, str(tmp_path / "tables"))
+    before = run_star_job(spark, str(tmp_path), store)
+    write_sales(tmp_path / "data" / "MOCK_DATA_9.csv", {"id": "77"})
+    draft = ParquetStore(spark, str(tmp_path / "tables" / "_draft"))
+    draft.write(store.read(RAW_TABLE).limit(1), RAW_TABLE, RAW)
+    (tmp_path / "tables" / "_draft" / "dim_dates").mkdir()
+    (tmp_path / "tables" / "_draft" / "no" / "such").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError, match="fact_sales"):
+        store.replace(draft, [RAW_TABLE, "dim_dates", "fact_sales"])
+    (tmp_path / "tables" / "no").write_text("a file, so the last move cannot work")
+    with pytest.raises(Exception):
+        store.replace(draft, [RAW_TABLE, "dim_dates", "no/such"])
+    assert {t: store.read(t).count() for t in before} == before
+    with monkeypatch.context() as broken:
+        broken.setattr("starmart.plans.jobs.check_star", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_star_job(spark, str(tmp_path), store)
+    assert {t: store.read(t).count() for t in before} == before
+    after = run_star_job(spark, str(tmp_path), store)
+    assert after[RAW_TABLE] == store.read("fact_sales").count() == before[RAW_TABLE] + 1
+    assert not [p for p in (tmp_path / "tables").iterdir() if p.name.startswith("_old")]
+
+
 def test_a_database_needs_a_place_for_rejects(spark, tmp_path):
     with pytest.raises(ValueError, match="rejects"):
         run_star_job(spark, str(tmp_path), JdbcStore(spark, "jdbc:none", {}))
