@@ -94,8 +94,8 @@ _PARTS = {
 }
 
 
-def _with(body: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in _PARTS.items()) + "\n" + body
+def _with(body: str, **other_parts: str) -> str:
+    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in (_PARTS | other_parts).items()) + "\n" + body
 
 
 # Whole cents, divided half up; no money in the tables is negative.
@@ -181,6 +181,8 @@ _TABLE_NAMES = {
     "fact_sales": "fact",
 }
 
+_KEYS = ["customer_key", "seller_key", "product_key", "store_key", "supplier_key", "date_key", "sale_key"]
+
 _NUMBER_TEXT = """
   SELECT l_orderkey, l_linenumber,
     CAST(l_partkey AS VARCHAR) || CASE WHEN l_linenumber = 3 THEN 'x' ELSE '' END AS part_number,
@@ -243,6 +245,12 @@ ORACLES: dict[str, str] = {
         f"SELECT w.sale_id, w.store_state, {_listed(STORE_KEY, 'w.')}, st.store_key FROM w LEFT JOIN stores st"
         f" USING ({_listed(STORE_KEY)})"
     ),
+    "lookup_store_key_nulls": _with(
+        f"SELECT w.sale_id, {_listed(STORE_KEY, 'w.')}, st.store_key FROM w LEFT JOIN stores st"
+        f" ON {' AND '.join(f'w.{c} IS NOT DISTINCT FROM st.{c}' for c in STORE_KEY)}",
+        w="SELECT * REPLACE (CASE WHEN sale_id % 5 <> 0 THEN store_location END AS store_location,"
+        f" CASE WHEN sale_id % 7 <> 0 THEN store_city END AS store_city) FROM ({_PARTS['w']})",
+    ),
     "lookup_supplier_key": _with(
         f"SELECT w.sale_id, {_listed(SUPPLIER, 'w.')}, su.supplier_key FROM w LEFT JOIN suppliers su"
         f" ON {' AND '.join(f'w.{c} = su.{c}' for c in SUPPLIER)}"
@@ -283,6 +291,13 @@ ORACLES: dict[str, str] = {
         )
     ),
     "full_refresh_idempotent": _with(_MARTS["mart_sales_customers"]),
+    "full_refresh_star": _with(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT {key}) AS key_count,"
+            f" CAST(min({key}) AS BIGINT) AS first_key, CAST(max({key}) AS BIGINT) AS last_key FROM {part}"
+            for (name, part), key in zip(_TABLE_NAMES.items(), _KEYS)
+        )
+    ),
 }
 
 # Another plan for the same rows.

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from starmart.contracts import MARTS as MART_CONTRACTS, RAW, contract, project_to, subset
+from starmart.contracts import MARTS as MART_CONTRACTS, RAW, STAR, contract, project_to, subset
 from starmart.functions.cleaning import find_rejects, normalize_strings, parse_typed
 from starmart.operators.enrich import enrich
 from starmart.operators.fact import resolve_store_key, resolve_supplier_key
@@ -19,6 +20,7 @@ from starmart.operators.quality import (
     check_unique,
     reconcile,
 )
+from starmart.plans.jobs import check_star
 from starmart.plans.layout import FULL
 from starmart.plans.marts import MART_DIMENSIONS, mart_of, store_marts
 from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records, stored_dims
@@ -183,6 +185,17 @@ def lookup_store_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_store_key(star.raw, star.members("dim_stores"), star.layout.store_key).drop(SPREAD)
 
 
+def lookup_store_key_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where some sales lack the store's location, its city or both."""
+    wide = wide_sales(spark, sf_dir).select("sale_id", *FULL.store_key[:4])
+    lacking = {
+        c: F.when(F.col("sale_id") % every != 0, F.col(c)) for c, every in (("store_location", 5), ("store_city", 7))
+    }
+    staging = Staging(spark)
+    star = Star(stage_records(wide.withColumns(lacking), staging), staging)
+    return resolve_store_key(star.raw, star.members("dim_stores"), star.layout.store_key).drop(SPREAD)
+
+
 def _supplier_lookup(null_safe: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         star = _star(spark, sf_dir, ["sale_id", "supplier_name", "supplier_city", "supplier_country"])
@@ -275,6 +288,32 @@ def full_refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_to(store.read(mart), MART_CONTRACTS[mart])
 
 
+def full_refresh_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All star tables, loaded from half of the sales and again from all: rows and keys of each."""
+    wide = wide_sales(spark, sf_dir)
+    target = ParquetStore(spark, Staging(spark).path("star"))
+    for sales in (wide.where(F.col("sale_id") % 2 == 0), wide):
+        staging = Staging(spark)
+        draft = ParquetStore(spark, staging.path("draft"))
+        raw = stage_records(sales, staging)
+        Star(raw, staging).store(draft)
+        check_star(draft, raw.count())
+        target.replace(draft, STAR_TABLES)
+        staging.drop()
+
+    def keys(name: str) -> DataFrame:
+        key = F.col(STAR[name].names[0]).cast("long")
+        return target.read(name).select(key.alias("key")).agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_distinct("key").alias("key_count"),
+            F.min("key").alias("first_key"),
+            F.max("key").alias("last_key"),
+        )
+
+    return reduce(DataFrame.unionByName, map(keys, STAR_TABLES))
+
+
 QUERIES: dict[str, Query] = {
     "csv_ingest_typed": csv_ingest_typed,
     "normalize_strings": normalize_strings_query,
@@ -284,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "rejects_malformed": rejects_malformed,
     **{name: _dimension(name) for name in DIMENSIONS},
     "lookup_store_key": lookup_store_key,
+    "lookup_store_key_nulls": lookup_store_key_nulls,
     "lookup_supplier_key": _supplier_lookup(null_safe=False),
     "lookup_supplier_key_nullsafe": _supplier_lookup(null_safe=True),
     "fact_sales": fact_sales,
@@ -297,4 +337,5 @@ QUERIES: dict[str, Query] = {
     "dq_reconcile": dq_reconcile,
     "table_counts": table_counts,
     "full_refresh_idempotent": full_refresh_idempotent,
+    "full_refresh_star": full_refresh_star,
 }
