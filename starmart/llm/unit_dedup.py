@@ -60,13 +60,15 @@ def repeats(docs: DataFrame, staging: Staging | None = None) -> DataFrame:
     smallest offset. Digests are grouped over the whole corpus after each task has
     merged its own; most units are unique and go no further. A digest that
     very many documents share is one row per task in the grouping, and in the
-    join back its units are on the side that adaptive execution splits.
+    join back its units are on the side that adaptive execution splits. Places and digests are
+    stored, about half the size of the texts, so that texts are cut up and hashed once.
     """
     staging = staging or Staging(docs.sparkSession)
     place = F.struct("doc_id", "copy", "start")
-    seen = units(docs).groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    every = staging.keep(units(docs), "units")
+    seen = every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     again = staging.keep(seen.where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"), "repeated")
-    found = units(docs).join(again, "digest").where(~place.eqNullSafe(F.col("first")))
+    found = every.join(again, "digest").where(~place.eqNullSafe(F.col("first")))
     return staging.keep(found.drop("first"), "repeats")
 
 
