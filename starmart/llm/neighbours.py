@@ -13,7 +13,7 @@ from starmart.llm.components import connected_components
 from starmart.llm.shared import Staging
 
 COSINE = 0.9
-NEIGHBOURS = 10  # length of a list; see completed() for lists that are full
+NEIGHBOURS = 10  # length of a list; see near_duplicates() for lists that are full
 TABLES = 4  # random orders that the first lists come from
 WINDOW = 256  # rows that are compared with each other there
 DESCENTS = 2  # refinements per round
@@ -60,14 +60,17 @@ def _runs(key: np.ndarray) -> list[slice]:
 # --- lists ------------------------------------------------------------------
 
 
-def _best(ids: np.ndarray, sims: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row of a square of similarities its best columns: (id, nbr, sim)."""
-    np.fill_diagonal(sims, -2)
+def _best(own: pd.DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each vector the most similar ones of other roots: (id, nbr, sim)."""
+    ids, root, x = own["id"].to_numpy(), own["root"].to_numpy(), _matrix(own["short"], np.float32)
     k = min(most, len(ids) - 1)
     if k < 1:
-        return ids[:0], ids[:0], sims[:0].ravel()
+        return ids[:0], ids[:0], np.zeros(0, np.float32)
+    sims = np.where(root[:, None] == root[None, :], np.float32(-2), x @ x.T)
     top = np.argpartition(-sims, k - 1, axis=1)[:, :k] if k < len(ids) - 1 else np.argsort(-sims, axis=1)[:, :k]
-    return np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(sims, top, axis=1).ravel()
+    sims = np.take_along_axis(sims, top, axis=1).ravel()
+    other = sims > -2
+    return np.repeat(ids, k)[other], ids[top].ravel()[other], sims[other]
 
 
 def _frame(parts: list) -> pd.DataFrame:
@@ -84,7 +87,7 @@ def _signed(seed: int, bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator
                 planes = np.random.default_rng([seed, int(dim)]).normal(size=(int(dim), bits + 1)).astype(np.float32)
                 at = _matrix(part["short"], np.float32) @ planes
                 cell = (at[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
-                yield part[["id", "short", "dim"]].assign(cell=cell, along=at[:, bits].astype(np.float64))
+                yield part[["id", "root", "short", "dim"]].assign(cell=cell, along=at[:, bits].astype(np.float64))
 
     return run
 
@@ -95,9 +98,7 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = []
         for dim in _runs(batch["dim"].to_numpy()):
             for k in range(dim.start, dim.stop, WINDOW):
-                own = batch.iloc[k : min(k + WINDOW, dim.stop)]
-                x = _matrix(own["short"], np.float32)
-                parts.append(_best(own["id"].to_numpy(), x @ x.T, NEIGHBOURS))
+                parts.append(_best(batch.iloc[k : min(k + WINDOW, dim.stop)], NEIGHBOURS))
         yield _frame(parts)
 
 
@@ -110,8 +111,8 @@ def first_lists(vectors: DataFrame, n: int, seed: int) -> DataFrame:
     bits = max(2, min(40, math.ceil(math.log2(max(2, n) / WINDOW)) + 1))
     lists = None
     for t in range(TABLES):
-        keyed = vectors.select("id", "short", "dim").mapInPandas(
-            _signed(seed * TABLES + t, bits), "id long, short binary, dim int, cell long, along double"
+        keyed = vectors.select("id", "root", "short", "dim").mapInPandas(
+            _signed(seed * TABLES + t, bits), "id long, root long, short binary, dim int, cell long, along double"
         )
         found = keyed.repartitionByRange("dim", "cell", "along", "id").sortWithinPartitions("dim", "cell", "along", "id").mapInPandas(
             _windows, EDGE
@@ -140,8 +141,7 @@ def _met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _joined(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = _matrix(group["short"], np.float32)
-    return _best(group["id"].to_numpy(), x @ x.T, 4)
+    return _best(group, 4)
 
 
 def descended(lists: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -154,11 +154,30 @@ def descended(lists: DataFrame, vectors: DataFrame) -> DataFrame:
     back = shortened(lists.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "sim"))
     around = lists.select(F.col("id").alias("hub"), F.col("nbr").alias("id")).union(back.select("id", "nbr"))
     around = around.union(lists.select("id", "id")).distinct()
-    found = around.join(vectors.select("id", "short"), "id").select("hub", "id", "short")
+    found = around.join(vectors.select("id", "root", "short"), "id").select("hub", "id", "root", "short")
     found = found.repartition("hub").sortWithinPartitions("hub", "id").mapInPandas(_met, EDGE)
     return shortened(lists.unionByName(found))
 
 
+def within(vectors: DataFrame, rooted: DataFrame) -> DataFrame:
+    """``vectors`` with the ``root`` of their component, or their own id."""
+    both = vectors.join(rooted.select(F.col("node").alias("id"), "root"), "id", "left")
+    return both.withColumn("root", F.coalesce("root", "id"))
+
+
+def apart(lists: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The entries of lists whose two vectors have different roots."""
+    of = vectors.select("id", "root")
+    both = lists.join(of, "id").join(of.select(F.col("id").alias("nbr"), F.col("root").alias("other")), "nbr")
+    return both.where("root <> other").select("id", "nbr", "sim")
+
+
+def any_full(lists: DataFrame) -> bool:
+    """Whether some vector's whole list is near enough, so that others as near may not have had a place."""
+    near = lists.where(F.col("sim") >= COSINE - SLACK).groupBy("id").count()
+    return not near.where(F.col("count") >= NEIGHBOURS).isEmpty()
+
+
 # --- links ------------------------------------------------------------------
 
 
@@ -177,6 +196,31 @@ def close_pairs(lists: DataFrame, vectors: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInPandas(_close, "a long, b long")
 
 
+def _bridges(group: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of different roots that some link between two blocks joins, each once."""
+    mine, lo, hi = (group[c].to_numpy() for c in ("mine", "lo", "hi"))
+    x, root = _matrix(group["exact"], np.float64), group["root"].to_numpy()
+    left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
+    pairs = [np.zeros((0, 2), np.int64)]
+    for k in range(0, len(left), BLOCK):
+        rows = left[k : k + BLOCK]
+        a, b = np.nonzero((x[rows] @ x[right].T >= COSINE) & (root[rows][:, None] != root[right][None, :]))
+        pairs.append(np.unique(np.sort(np.stack([root[rows][a], root[right][b]], axis=1), axis=1), axis=0))
+    return pd.DataFrame(np.unique(np.concatenate(pairs), axis=0), columns=["a", "b"])
+
+
+def bridged(vectors: DataFrame, n: int) -> DataFrame:
+    """Pairs (``a`` < ``b``) of roots that some link joins, from an exact comparison of all vectors, block by block.
+
+    The work grows with the square of the table, so this is for what the lists have not found.
+    """
+    blocks = max(1, math.ceil(n / (4 * BLOCK)))
+    dealt = vectors.select("dim", "root", "exact", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("mine"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    paired = paired.select("dim", "root", "exact", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+    return paired.groupBy("dim", "lo", "hi").applyInPandas(_bridges, "a long, b long").distinct()
+
+
 def _counted(group: pd.DataFrame) -> pd.DataFrame:
     """Links within components, or between two blocks of one; every vector counts copies of the others."""
     parts = []
@@ -200,8 +244,7 @@ def _counted(group: pd.DataFrame) -> pd.DataFrame:
 def completed(rooted: DataFrame, vectors: DataFrame, staging: Staging) -> DataFrame:
     """(``id``, ``root``, ``links``): each member's links to all of its component, counted exactly.
 
-    A list in which every neighbour is near enough is full, and may lack others. So lists are
-    enlarged to the whole component: components are cut into blocks of about ``BLOCK`` vectors, and
+    Lists are enlarged to the whole component: components are cut into blocks of about ``BLOCK`` vectors, and
     every two blocks of one are compared in a task, which returns a count for each of
     their vectors and no pairs. Components smaller than a block share tasks.
     """
@@ -260,6 +303,11 @@ def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFra
     near enough makes components, and within them links are counted exactly
     (``completed``). An audit compares a bounded sample with all vectors; while it finds less
     than ``RECALL`` of the links, there is another round, with new random orders.
+
+    A list in which every neighbour is near enough is full, and may lack others. The members of
+    its component need no place, so the next round's lists hold only neighbours of other
+    components; such rounds go on until one finds no more links. If ``ROUNDS`` end without that, or
+    with an audit that fails, all vectors are compared exactly (``bridged``).
     """
     staging = staging or Staging(table.sparkSession)
     x = F.transform("embedding", lambda v: v.cast("double"))
@@ -270,16 +318,28 @@ def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFra
     vectors = staging.keep(
         merged.select("id", "x", "copies").mapInPandas(_unit, "exact binary, short binary, dim int, id long, copies long"), "vectors"
     )
-    n, lists, done = vectors.count(), None, None
+    n, lists, links, rooted, whole = vectors.count(), None, None, None, False
+    placed = vectors.withColumn("root", F.col("id"))
     for k in range(ROUNDS):
-        new = first_lists(vectors, n, k)
+        new = first_lists(placed, n, k)
         lists = staging.keep(shortened(new if lists is None else lists.unionByName(new)), "lists")
         for _ in range(DESCENTS):
-            lists = staging.keep(descended(lists, vectors), "lists")
-        rooted = staging.keep(connected_components(close_pairs(lists, vectors), staging), "rooted")
-        done = completed(rooted, vectors, staging)
-        if recall(done, vectors) >= RECALL:
+            lists = staging.keep(descended(lists, placed), "lists")
+        more = staging.keep(close_pairs(lists, vectors), "pairs")
+        settled = more.isEmpty()
+        if rooted is None or not settled:
+            links = more if links is None else links.union(more)
+            rooted = staging.keep(connected_components(links, staging), "rooted")
+        if settled or not any_full(lists):
+            done = completed(rooted, vectors, staging)
+            whole = recall(done, vectors) >= RECALL
+        if whole:
             break
+        placed = staging.keep(within(vectors, rooted), "placed")
+        lists = apart(lists, placed)
+    if not whole:
+        rooted = staging.keep(connected_components(links.union(bridged(placed, n)), staging), "rooted")
+        done = completed(rooted, vectors, staging)
     named = merged.select("id", "least", "copies", "key", "x").join(done, "id", "left")
     own = F.coalesce("root", "id")
     named = named.withColumn("own", own)

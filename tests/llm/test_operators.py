@@ -471,6 +471,37 @@ def test_neighbours(spark):
     assert neighbours.near_duplicates(frame.limit(0)).count() == 0
 
 
+def linked(x):
+    """Brute force: each vector's links, and the smallest place that they reach."""
+    x = x.astype(np.float32).astype(float)
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    return near.sum(axis=1).tolist(), components_of(np.argwhere(near).tolist(), range(len(x)))
+
+
+def nested_groups() -> np.ndarray:
+    """40 tight groups of 40 that lie near each other, so that each fills its own lists."""
+    draw = np.random.default_rng(11)
+    groups = draw.normal(size=16) + 0.18 * draw.normal(size=(40, 16))
+    return np.repeat(groups, 40, axis=0) + 0.004 * draw.normal(size=(1600, 16))
+
+
+def neighbour_rows(spark, x):
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    return sorted(neighbours.near_duplicates(frame).collect())
+
+
+@pytest.mark.parametrize("rounds", [neighbours.ROUNDS, 1])
+def test_nested_tight_groups(spark, monkeypatch, rounds):
+    monkeypatch.setattr(neighbours, "ROUNDS", rounds)
+    x = nested_groups()
+    links, roots = linked(x)
+    assert min(links) > 40
+    out = neighbour_rows(spark, x)
+    assert [(r["n_links"], r["component_id"]) for r in out] == [(links[k], roots[k]) for k in range(len(x))]
+
+
 # --- pipeline ---------------------------------------------------------------
 
 
