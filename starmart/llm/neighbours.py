@@ -19,7 +19,7 @@ WINDOW = 256  # rows that are compared with each other there
 DESCENTS = 2  # refinements per round
 ROUNDS = 4  # at most, until the audit is content
 RECALL = 0.98  # that the audit asks for
-AUDITED = 1_000  # vectors that the audit compares with all others
+AUDITED = 1_000  # vectors in components, and as many others, that the audit compares with all
 BLOCK = 1_024  # vectors of a component that one task compares with as many others
 SLACK = 0.005  # below the threshold, for candidates in single precision
 
@@ -222,7 +222,7 @@ def bridged(vectors: DataFrame, n: int) -> DataFrame:
 
 
 def _counted(group: pd.DataFrame) -> pd.DataFrame:
-    """Links within components, or between two blocks of one; every vector counts copies of the others."""
+    """Links within components, or between two blocks of one; every vector counts the others, and their copies."""
     parts = []
     order = np.argsort(group["root"].to_numpy(), kind="stable")
     group = group.iloc[order]
@@ -234,15 +234,17 @@ def _counted(group: pd.DataFrame) -> pd.DataFrame:
         near = x[left] @ x[right].T >= COSINE
         if lo[0] == hi[0]:
             np.fill_diagonal(near, False)
-            parts.append((ids, near @ copies))
+            parts.append((ids, near @ copies, near.sum(axis=1)))
         else:
-            parts.append((ids[left], near @ copies[right]))
-            parts.append((ids[right], near.T @ copies[left]))
-    return pd.DataFrame({"id": np.concatenate([p[0] for p in parts]), "links": np.concatenate([p[1] for p in parts])})
+            parts.append((ids[left], near @ copies[right], near.sum(axis=1)))
+            parts.append((ids[right], near.T @ copies[left], near.sum(axis=0)))
+    return pd.DataFrame({name: np.concatenate(values) for name, values in zip(("id", "links", "others"), zip(*parts))})
 
 
 def completed(rooted: DataFrame, vectors: DataFrame, staging: Staging) -> DataFrame:
-    """(``id``, ``root``, ``links``): each member's links to all of its component, counted exactly.
+    """(``id``, ``root``, ``size``, ``links``, ``others``): each member's links to all of its component, counted exactly.
+
+    ``links`` counts the copies of the linked vectors, ``others`` the vectors, ``size`` those of the component.
 
     Lists are enlarged to the whole component: components are cut into blocks of about ``BLOCK`` vectors, and
     every two blocks of one are compared in a task, which returns a count for each of
@@ -263,14 +265,41 @@ def completed(rooted: DataFrame, vectors: DataFrame, staging: Staging) -> DataFr
         "id", "root", "mine", "exact", "copies", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
         F.when(F.col("blocks") == 1, shared).otherwise(F.col("root")).alias("task"), (F.col("blocks") == 1).alias("small"),
     )
-    counted = paired.groupBy("small", "task", "lo", "hi").applyInPandas(_counted, "id long, links long")
-    links = counted.groupBy("id").agg(F.sum("links").alias("links"))
-    return staging.keep(members.select("id", "root").join(links, "id"), "completed")
+    counted = paired.groupBy("small", "task", "lo", "hi").applyInPandas(_counted, "id long, links long, others long")
+    links = counted.groupBy("id").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
+    return staging.keep(members.select("id", "root", "size").join(links, "id"), "completed")
+
+
+def _sampled(found: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The audit's vectors: (``id``, ``exact``, ``dim``, ``others``, ``weight``).
+
+    Components are told apart by the power of two below their size, and each such class gives as many
+    vectors, ``AUDITED`` together; vectors without a component give ``AUDITED``. Within a class those
+    with the smallest hashes are taken. ``weight`` is how many of its class a vector stands for.
+    """
+    known = found.select("id", "others", F.floor(F.log2("size")).cast("int").alias("class"))
+    each = vectors.select("id").join(known, "id", "left").select("id", F.coalesce("class", F.lit(0)).alias("class"), F.coalesce("others", F.lit(0)).alias("others"))
+    classes = {r["class"]: r["count"] for r in each.groupBy("class").count().collect()}
+    grouped = max(1, len(classes) - (0 in classes))
+    chosen = None
+    for c, n in classes.items():
+        most = AUDITED if c == 0 else max(1, AUDITED // grouped)
+        own = each.where(F.col("class") == c).orderBy(F.xxhash64("id"), "id").limit(most).withColumn("weight", F.lit(n / min(n, most)))
+        chosen = own if chosen is None else chosen.unionByName(own)
+    return None if chosen is None else chosen.join(vectors.select("id", "exact", "dim"), "id")
 
 
 def recall(found: DataFrame, vectors: DataFrame) -> float:
-    """The share of links that ``found`` has, for ``AUDITED`` vectors with the smallest hashes, compared with all."""
-    chosen = vectors.orderBy(F.xxhash64("id")).limit(AUDITED).select("id", "exact", "dim").toPandas()
+    """The least share of links that ``found`` has, over classes of vectors with a similar number of links.
+
+    The vectors of ``_sampled`` are compared with all. Each has the share of its own links that
+    were found, whatever their copies, and a class (1, 2 or 3, 4 to 7 ... links) the weighted mean of its
+    vectors' shares. So a large group cannot make up for small ones.
+    """
+    sampled = _sampled(found, vectors)
+    if sampled is None:
+        return 1.0
+    chosen = sampled.toPandas()
     asked = {int(d): (own["id"].to_numpy(), _matrix(own["exact"], np.float64)) for d, own in chosen.groupby("dim")}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,12 +310,15 @@ def recall(found: DataFrame, vectors: DataFrame) -> float:
                 ids, x = asked[dim]
                 near = x @ _matrix(own["exact"], np.float64).T >= COSINE
                 near &= ids[:, None] != own["id"].to_numpy()[None, :]
-                yield pd.DataFrame({"id": ids, "n": near @ own["copies"].to_numpy()})
+                yield pd.DataFrame({"id": ids, "n": near.sum(axis=1)})
 
-    true = vectors.mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).where("n > 0")
-    both = true.join(found.select("id", "links"), "id", "left")
-    row = both.agg(F.sum("n").alias("all"), F.sum(F.least("n", F.coalesce("links", F.lit(0)))).alias("found")).first()
-    return row["found"] / row["all"] if row["all"] else 1.0
+    true = vectors.select("id", "exact", "dim").mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).where("n > 0").toPandas()
+    both = true.merge(chosen[["id", "others", "weight"]], on="id")
+    if both.empty:
+        return 1.0
+    both["share"] = both["weight"] * np.minimum(1, both["others"] / both["n"])
+    sums = both.groupby(np.floor(np.log2(both["n"])))[["share", "weight"]].sum()
+    return float((sums["share"] / sums["weight"]).min())
 
 
 def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFrame:
@@ -301,8 +333,8 @@ def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFra
 
     Lists of nearest neighbours begin in random orders and are refined by NN-descent. What is
     near enough makes components, and within them links are counted exactly
-    (``completed``). An audit compares a bounded sample with all vectors; while it finds less
-    than ``RECALL`` of the links, there is another round, with new random orders.
+    (``completed``). An audit compares a bounded sample with all vectors; while vectors of some number
+    of links have less than ``RECALL`` of them (``recall``), there is another round, with new random orders.
 
     A list in which every neighbour is near enough is full, and may lack others. The members of
     its component need no place, so the next round's lists hold only neighbours of other

@@ -502,6 +502,22 @@ def test_nested_tight_groups(spark, monkeypatch, rounds):
     assert [(r["n_links"], r["component_id"]) for r in out] == [(links[k], roots[k]) for k in range(len(x))]
 
 
+def test_audit_sees_small_groups_beside_a_large_one(spark, staging):
+    """All links of a large group found and none of many pairs is no good recall, nor is a copied vector's link more than another."""
+    draw = np.random.default_rng(12)
+    pairs = draw.normal(size=(20, 16))
+    x = np.concatenate([draw.normal(size=16) + 0.01 * draw.normal(size=(300, 16)), pairs, pairs + 0.01 * draw.normal(size=(20, 16)), draw.normal(size=(500, 16))])
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    rows = [(k, v.tobytes(), v.astype(np.float32).tobytes(), 16, 1000 if k < 300 else 1) for k, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "id long, exact binary, short binary, dim int, copies long")
+    group, paired = [(k, 0) for k in range(300)], [(k, 300 + (k - 300) % 20) for k in range(300, 340)]
+    shares = []
+    for rooted in (group, group + paired):
+        done = neighbours.completed(spark.createDataFrame(rooted, "node long, root long"), vectors, staging)
+        shares.append(neighbours.recall(done, vectors))
+    assert shares == [0, 1]
+
+
 # --- pipeline ---------------------------------------------------------------
 
 
