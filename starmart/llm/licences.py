@@ -104,33 +104,66 @@ def normalised(sentence: Column) -> Column:
     return F.regexp_replace(plain, r"\blicence", "license")
 
 
-def _known(pieces: Column, names: list[str]) -> Column:
-    """(sentence number, start, end) of the known sentences among the pieces of a text, in order."""
-    texts = F.array(*[F.lit(SENTENCES[n]) for n in names])
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,start:int,end:int>>").alias("out"))
-
-    def add(state: Column, piece: Column) -> Column:
-        end = state["at"] + piece["size"]
-        found = F.struct(piece["s"].alias("s"), state["at"].alias("start"), end.alias("end"))
-        more = F.when(piece["s"] > 0, F.concat(state["out"], F.array(found))).otherwise(state["out"])
-        return F.struct((end + 1).alias("at"), more.alias("out"))
-
-    longest = max(len(SENTENCES[n]) for n in names) * 2
-    looked = F.transform(
-        pieces,
-        lambda p: F.struct(
-            F.when(F.length(p) > longest, F.lit(0)).otherwise(F.array_position(texts, normalised(p))).cast("int").alias("s"),
-            F.length(p).alias("size"),
-        ),
+def _pieces(text: Column) -> Column:
+    """(start, end, plain) of the lines of a text, cut at sentence ends too, without those that have neither letter nor digit."""
+    # One character for one, so that offsets stay.
+    parts = F.split(F.regexp_replace(text, r"([.!?])\s", "$1\n"), "\n", -1)
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    ends = F.aggregate(
+        F.transform(parts, lambda p: F.length(p) + 1),
+        begin,
+        lambda state, n: F.struct((state["at"] + n).alias("at"), F.concat(state["out"], F.array(state["at"] + n)).alias("out")),
+        lambda state: state["out"],
+    )
+    placed = F.zip_with(
+        parts, ends, lambda p, e: F.struct((e - 1 - F.length(p)).alias("start"), (e - 1).alias("end"), normalised(p).alias("plain"))
     )
-    return F.aggregate(looked, begin, add, lambda state: state["out"])
+    return F.filter(placed, lambda p: p["plain"] != "")
+
+
+def _known(names: list[str]) -> tuple[Column, Column]:
+    """The sentences that a text may have, as ``possible``; (sentence number, start, end) of those that its ``pieces`` make.
+
+    One piece or several in a row make a sentence; at each the longest counts.
+    """
+    most = max(len(SENTENCES[n].split(" ")) for n in names)  # pieces of one sentence: each has a word
+    texts = F.array(*[F.struct(F.lit(k + 1).alias("s"), F.lit(SENTENCES[n]).alias("text")) for k, n in enumerate(names)])
+    plain = F.transform("pieces", lambda p: p["plain"])
+    possible = F.filter(texts, lambda t: F.contains(F.col("whole"), t["text"]))
+
+    def made(k: Column, t: Column) -> Column:
+        """How many pieces from the k-th on make the sentence, or NULL."""
+        sizes = F.sequence(F.lit(1), F.least(F.lit(most), F.size("pieces") - k))
+        fits = F.get(F.filter(sizes, lambda m: F.concat_ws(" ", F.slice(plain, k + 1, m)) == t["text"]), F.lit(0))
+        return F.when(F.startswith(t["text"], F.get("pieces", k)["plain"]), fits)
+
+    def longest(k: Column) -> Column:
+        all_ = F.transform("possible", lambda t: F.struct(F.length(t["text"]).alias("size"), t["s"].alias("s"), made(k, t).alias("n")))
+        return F.array_max(F.filter(all_, lambda f: f["n"].isNotNull()))
+
+    begin = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<s:int,start:int,end:int>>").alias("out"))
+
+    def add(state: Column, k: Column) -> Column:
+        def step(best: Column) -> Column:
+            last = F.get("pieces", k + best["n"] - 1)
+            found = F.struct(best["s"].alias("s"), F.get("pieces", k)["start"].alias("start"), last["end"].alias("end"))
+            fits = (k >= state["next"]) & best.isNotNull()
+            return F.struct(
+                F.when(fits, k + best["n"]).otherwise(state["next"]).alias("next"),
+                F.when(fits, F.concat(state["out"], F.array(found))).otherwise(state["out"]).alias("out"),
+            )
+
+        return _let(longest(k), step)
+
+    return possible, F.aggregate(F.sequence(F.lit(0), F.size("pieces") - 1), begin, add, lambda state: state["out"])
 
 
 def licensed(docs: DataFrame) -> DataFrame:
     """Every row as the struct ``_doc``, with ``sentences`` and ``matches``.
 
-    Sentences end at a line end or at ``.``, ``!`` or ``?`` before white space. Each is normalised and
-    looked up among the known ones; ``sentences`` lists those found as (s, start, end). A rule
+    Pieces end at a line end or at ``.``, ``!`` or ``?`` before white space. Each is normalised, which
+    drops comment marks, and one or several in a row are looked up among the known sentences, so that
+    these may be wrapped; ``sentences`` lists those found as (s, start, end). A rule
     matches where its sentences stand in that list one after the other, and ``matches``
     lists (licence, start, end) of the rules found, from left to right, none
     sharing a sentence. Offsets count code points of the original text, ends are exclusive.
@@ -142,9 +175,11 @@ def licensed(docs: DataFrame) -> DataFrame:
     names = list(SENTENCES)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
     text = F.coalesce(F.col("_doc.text").cast("string"), F.lit(""))
-    # One character for one, so that offsets stay.
-    pieces = F.split(F.regexp_replace(text, r"([.!?])\s", "$1\n"), "\n", -1)
-    rows = rows.withColumn("sentences", F.when(text.rlike(r"\S"), _known(pieces, names)).otherwise(F.array().cast("array<struct<s:int,start:int,end:int>>")))
+    none = F.array().cast("array<struct<s:int,start:int,end:int>>")
+    possible, known = _known(names)
+    rows = rows.withColumn("pieces", _pieces(text)).withColumn("whole", F.array_join(F.transform("pieces", lambda p: p["plain"]), " "))
+    rows = rows.withColumn("possible", possible)
+    rows = rows.withColumn("sentences", F.when(F.size("possible") > 0, known).otherwise(none)).select("_doc", "sentences")
     rules = F.array(
         *[
             F.struct(F.lit(licence).alias("licence"), F.array(*[F.lit(names.index(n) + 1) for n in order]).alias("order"))

@@ -298,6 +298,44 @@ def test_licences(docs, nothing, spark):
     assert licences.licensed(nothing).count() == 0
 
 
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software"""
+MIT = """MIT License
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of it"
+
+
+def commented(text, first, mark, last):
+    return "\n".join([first] + [mark + line for line in text.split("\n")] + [last])
+
+
+def test_wrapped_and_commented_licences(spark):
+    padded = "=" * 2000 + " ".join(["Licensed under", "the MIT", "License"]).replace("Licensed", " Released") + "." + " " * 2000
+    rows = [APACHE, commented(APACHE, "#!", "# ", ""), commented(MIT, "/*", " * ", " */"), MIT.replace("\n", "\r\n"), commented(MPL, "", "// ", ""), padded]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = by_id(licences.digest(licences.licensed(frame)))
+    assert [found[k]["licences"] for k in range(len(rows))] == ["Apache-2.0", "Apache-2.0", "MIT", "MIT", "MPL-2.0", "MIT"]
+    for k, first, last in [(0, "Licensed under", "LICENSE-2.0"), (1, "# Licensed", "LICENSE-2.0"), (2, " * Permission", "the Software."), (3, "Permission", "the Software.")]:
+        _, a, b = found[k]["spans"].rsplit(":", 2)
+        assert rows[k][int(a) : int(b)].startswith(first) and rows[k][int(a) : int(b)].strip().endswith(last)
+
+
 # --- op6 --------------------------------------------------------------------
 
 
