@@ -61,8 +61,62 @@ SENTENCES = {
     "spdx_gpl3_later": "spdx license identifier gpl 3 0 or later",
     "spdx_bsd3": "spdx license identifier bsd 3 clause",
     "reserved": "all rights reserved",
+    "apache_url": "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    "zlib_grant": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and "
+        "to alter it and redistribute it freely subject to the following restrictions"
+    ),
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "boost_notice": "distributed under the boost software license version 1 0",
+    "epl2_notice": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license "
+        "2 0 which is available at https www eclipse org legal epl 2 0"
+    ),
+    "epl2_http": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license "
+        "2 0 which is available at http www eclipse org legal epl 2 0"
+    ),
+    "epl1_notice": (
+        "all rights reserved this program and the accompanying materials are made available under the terms of the "
+        "eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org "
+        "legal epl v10 html"
+    ),
+    "epl1_terms": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license "
+        "v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html"
+    ),
 }
 
+# Notices of the GNU licences. {what} is the program or a library, {gnu} the licence's name.
+GNU_LATER = (
+    "{what} is free software you can redistribute it and or modify it under the terms of the gnu {gnu} as published by "
+    "the free software foundation either version {version} of the license or at your option any later version"
+)
+GNU_ONLY = (
+    "{what} is free software you can redistribute it and or modify it under the terms of the gnu {gnu} version {version} "
+    "as published by the free software foundation"
+)
+GNU_HOPE = (
+    "{what} is distributed in the hope that it will be useful but without any warranty without even the implied "
+    "warranty of merchantability or fitness for a particular purpose"
+)
+WHATS = ["this program", "this library", "this file", "this software"]
+GNU = [
+    ("GPL-2.0", "general public license", "2"),
+    ("GPL-3.0", "general public license", "3"),
+    ("LGPL-2.0", "library general public license", "2"),
+    ("LGPL-2.1", "lesser general public license", "2 1"),
+    ("LGPL-3.0", "lesser general public license", "3"),
+    ("AGPL-3.0", "affero general public license", "3"),
+]
+
+# Licences that are known by their SPDX identifier.
+SPDX = [
+    "MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "Unlicense", "BSL-1.0", "MPL-2.0", "EPL-1.0", "EPL-2.0",
+    "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0",
+    *[f"{name}-{kind}" for name, _, _ in GNU for kind in ("only", "or-later")],
+]
+
 # Licences and the sentences that make them, in order. The first rule
 # that matches at a sentence takes it, so longer ones come first.
 RULES = [
@@ -72,6 +126,7 @@ RULES = [
     ("MIT", ["mit_notice"]),
     ("MIT", ["spdx_mit"]),
     ("Apache-2.0", ["apache_terms", "apache_copy"]),
+    ("Apache-2.0", ["apache_terms", "apache_url"]),
     ("Apache-2.0", ["apache_terms"]),
     ("Apache-2.0", ["apache_notice"]),
     ("Apache-2.0", ["spdx_apache"]),
@@ -90,10 +145,36 @@ RULES = [
     ("CC-BY-4.0", ["cc_by_notice"]),
     ("CC-BY-SA-4.0", ["cc_by_sa_notice"]),
     ("CC-BY-NC-4.0", ["cc_by_nc_notice"]),
+    ("EPL-1.0", ["epl1_notice"]),
+    ("EPL-1.0", ["epl1_terms"]),
+    ("EPL-2.0", ["epl2_notice"]),
+    ("EPL-2.0", ["epl2_http"]),
+    ("Zlib", ["zlib_grant"]),
+    ("Unlicense", ["unlicense"]),
+    ("BSL-1.0", ["boost_notice"]),
     ("LicenseRef-all-rights-reserved", ["reserved"]),
 ]
 
 
+def _add(name: str, sentence: str) -> str:
+    """The name of the sentence, which is added unless it is known."""
+    for known, text in SENTENCES.items():
+        if text == sentence:
+            return known
+    SENTENCES[name] = sentence
+    return name
+
+
+for _what in WHATS:
+    _hope = _add(f"hope {_what}", GNU_HOPE.format(what=_what))
+    for _name, _gnu, _version in GNU:
+        for _kind, _form in (("or-later", GNU_LATER), ("only", GNU_ONLY)):
+            _terms = _add(f"{_name}-{_kind} {_what}", _form.format(what=_what, gnu=_gnu, version=_version))
+            RULES += [(f"{_name}-{_kind}", [_terms, _hope]), (f"{_name}-{_kind}", [_terms])]
+for _name in SPDX:
+    RULES.append((_name, [_add(f"spdx {_name}", "spdx license identifier " + _name.lower().replace("-", " ").replace(".", " "))]))
+
+
 def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 

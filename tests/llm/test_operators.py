@@ -336,6 +336,24 @@ def test_wrapped_and_commented_licences(spark):
         assert rows[k][int(a) : int(b)].startswith(first) and rows[k][int(a) : int(b)].strip().endswith(last)
 
 
+def test_common_licences(spark):
+    gnu = "This {} is free software; you can redistribute it and/or\nmodify it under the terms of the GNU {}\nas published by the Free Software Foundation; either\nversion {} of the License, or (at your option) any later version.\n"
+    expected = {
+        gnu.format("program", "General Public License", "2"): "GPL-2.0-or-later",
+        gnu.format("program", "General Public License", "3"): "GPL-3.0-or-later",
+        gnu.format("library", "Lesser General Public License", "2.1"): "LGPL-2.1-or-later",
+        gnu.format("program", "Affero General Public License", "3"): "AGPL-3.0-or-later",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        licences.SENTENCES["zlib_grant"] + ":": "Zlib",
+        licences.SENTENCES["epl2_notice"] + "/": "EPL-2.0",
+    }
+    for name in "MIT Apache-2.0 GPL-2.0-only GPL-2.0-or-later LGPL-3.0-only AGPL-3.0-only MPL-2.0 ISC BSD-2-Clause BSD-3-Clause CC-BY-4.0 CC0-1.0".split():
+        expected[f"/* SPDX-License-Identifier: {name} */\nint x;"] = name
+    frame = spark.createDataFrame(list(enumerate(expected)), "doc_id long, text string")
+    found = by_id(licences.digest(licences.licensed(frame)))
+    assert [found[k]["licences"] for k in range(len(expected))] == list(expected.values())
+
+
 # --- op6 --------------------------------------------------------------------
 
 
