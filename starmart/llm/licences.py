@@ -175,6 +175,10 @@ for _name in SPDX:
     RULES.append((_name, [_add(f"spdx {_name}", "spdx license identifier " + _name.lower().replace("-", " ").replace(".", " "))]))
 
 
+# What groups of sentences have in common; texts without it need no look at the group.
+ANCHORS = ["spdx license identifier", "is free software you can redistribute it", "is distributed in the hope", "license", ""]
+
+
 def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -208,9 +212,14 @@ def _known(names: list[str]) -> tuple[Column, Column]:
     One piece or several in a row make a sentence; at each the longest counts.
     """
     most = max(len(SENTENCES[n].split(" ")) for n in names)  # pieces of one sentence: each has a word
-    texts = F.array(*[F.struct(F.lit(k + 1).alias("s"), F.lit(SENTENCES[n]).alias("text")) for k, n in enumerate(names)])
+    groups: dict[str, list[Column]] = {}
+    for k, n in enumerate(names):
+        anchor = next(a for a in ANCHORS if a in SENTENCES[n])
+        groups.setdefault(anchor, []).append(F.struct(F.lit(k + 1).alias("s"), F.lit(SENTENCES[n]).alias("text")))
     plain = F.transform("pieces", lambda p: p["plain"])
-    possible = F.filter(texts, lambda t: F.contains(F.col("whole"), t["text"]))
+    whole, none = F.col("whole"), F.array().cast("array<struct<s:int,text:string>>")
+    found_in = lambda texts: F.filter(F.array(*texts), lambda t: F.contains(whole, t["text"]))
+    possible = F.concat(*[F.when(F.contains(whole, F.lit(a)), found_in(texts)).otherwise(none) for a, texts in groups.items()])
 
     def made(k: Column, t: Column) -> Column:
         """How many pieces from the k-th on make the sentence, or NULL."""
