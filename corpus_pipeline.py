@@ -35,8 +35,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, with their places in sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path(BPE_TOKENIZER), keep_ids=False)
+    """The pieces of all documents, with their ids and their places in sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path(BPE_TOKENIZER))
 
 
 STAGES = [

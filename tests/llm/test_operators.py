@@ -598,3 +598,11 @@ def test_pipeline(spark, tmp_path):
     assert not any(base_spans(r["text"]) for r in safe)
     assert sorted({r["doc_id"] for r in packed}) == sorted(r["doc_id"] for r in safe)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
+
+
+def test_pipeline_ends_with_tokens(spark):
+    rows = [(1, prose(1, 3000)), (2, "a few words"), (3, None)]
+    out = corpus_pipeline.packing_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    for r in out:
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+    assert {r["doc_id"] for r in out} == {1, 2, 3} and len(out) > 3
