@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.llm import (
     bpe,
+    hard_negatives,
     language,
     licences,
     neighbours,
     packing,
+    periodic_runs,
     quality_ranker,
     quality_rules,
     secret_scan,
+    segment_search,
     simhash,
     unit_dedup,
 )
@@ -70,6 +73,21 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_search.searched(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", periodic_runs.planted(F.col("doc_id"), F.col("text")))
+    return periodic_runs.digest(periodic_runs.collapsed(docs))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -83,7 +101,14 @@ QUERIES: dict[str, Query] = {
         op8_best_fit_packing,
         op9_distinct_word_bpe,
         op10_nn_descent,
+        op11_segment_search,
+        op12_periodic_runs,
+        op13_hard_negatives,
     )
 }
 
-ORACLES: dict[str, str] = {"op2_unit_dedup": unit_dedup.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_unit_dedup": unit_dedup.ORACLE,
+    "op11_segment_search": segment_search.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
+}
