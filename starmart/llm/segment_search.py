@@ -12,44 +12,50 @@ from starmart.llm.integer_blocks import EXACT, SCALE, TILE, Leaders, block_pairs
 from starmart.llm.shared import Staging
 
 BEST = 5
-SEGMENTS = (1, 4, 16)  # of a vector, from coarse to fine; a vector has no more segments than components
+SEGMENTS = (64, 16, 4)  # components of a segment, from coarse to fine
 SAMPLE = 1_024  # rows that give a first limit for each query; only the time depends on it
-DENSE = 0.2  # share of a tile from which whole tiles are multiplied
+DENSE = 0.2  # share of a tile from which whole tiles are compared and not single pairs
 
 RESULT = "row long, query_id long, vec_id long, score long"
 
 
-def statistics(x: np.ndarray, segments: int) -> np.ndarray:
+def statistics(x: np.ndarray, length: int) -> np.ndarray:
     """Mean and deviation of every segment of every row, weighted so that a product of two such rows bounds that of the vectors.
 
     With d the distance of two vectors, their product is (|a|^2 + |b|^2 - d^2) / 2. In a segment of n
     components d^2 is at least n times the squared differences of the means and of the deviations, which
     leaves a product of at most n times (mean * mean + deviation * deviation).
     """
-    dim = x.shape[1]
-    edges = np.linspace(0, dim, min(segments, dim) + 1).astype(int)
     out = []
-    for a, b in zip(edges, edges[1:]):
-        own, root = x[:, a:b], np.sqrt(b - a)
+    for k in range(0, x.shape[1], length):
+        own = x[:, k : k + length]
         mean = own.mean(axis=1)
-        out += [mean * root, np.sqrt(np.square(own - mean[:, None]).sum(axis=1))]
+        out += [mean * np.sqrt(own.shape[1]), np.sqrt(np.square(own - mean[:, None]).sum(axis=1))]
     return np.stack(out, axis=1) if out else np.zeros((len(x), 0))
 
 
-def _survivors(q: list[np.ndarray], x: list[np.ndarray], need: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a tile whose bounds reach ``need`` at every resolution, coarse to fine."""
-    a, b = None, None
-    for left, right in zip(q, x):
+def survivors(q: list[np.ndarray], x: list[np.ndarray], need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a tile whose product reaches ``need`` of its row: (row, row, product).
+
+    ``q`` and ``x`` hold the statistics, coarse to fine, and last the vectors themselves. While many pairs are left a whole tile is
+    multiplied at a time, then only what is left.
+    """
+    mask, a, b, value = None, None, None, None
+    slack = 1e-9 * max(1.0, *(np.sqrt(np.square(m[-1]).sum(axis=1).max(initial=0.0)) ** 2 for m in (q, x)))
+    for level, (left, right) in enumerate(zip(q, x)):
+        enough = need if level == len(q) - 1 else need - slack  # bounds are rounded, products are not
         if a is None:
-            a, b = np.nonzero(left @ right.T + slack >= need[:, None])
-            continue
-        if len(a) > DENSE * len(left) * len(right):
-            bound = (left @ right.T)[a, b]
+            value = left @ right.T
+            alive = value >= enough[:, None]
+            mask = alive if mask is None else mask & alive
+            if level == len(q) - 1 or np.count_nonzero(mask) < DENSE * mask.size:
+                a, b = np.nonzero(mask)
+                value = value[a, b]
         else:
-            bound = np.einsum("ij,ij->i", left[a], right[b])
-        alive = bound + slack >= need[a]
-        a, b = a[alive], b[alive]
-    return a, b
+            value = np.einsum("ij,ij->i", left[a], right[b])
+            alive = value >= enough[a]
+            a, b, value = a[alive], b[alive], value[alive]
+    return a, b, value
 
 
 def _searched(best: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
@@ -62,21 +68,16 @@ def _searched(best: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
         q, x = matrix(asking["vector"], dim), matrix(answering["vector"], dim)
         rows, own = answering["row"].to_numpy(), asking["row"].to_numpy()
         first = asking["least"].fillna(-np.inf).to_numpy(np.float64)
-        norm = [np.sqrt(np.square(m).sum(axis=1)).max() for m in (q, x)]
-        plain = norm[0] * norm[1] * max(1, dim) < EXACT
-        levels = SEGMENTS if plain else ()  # bounds of products that doubles cannot hold would be no bounds
-        qs, xs = ([statistics(m, s) for s in levels] for m in (q, x))
-        slack = 1e-9 * norm[0] * norm[1] + 1e-6
+        top = [np.abs(m).max(initial=0.0) for m in (q, x)]
+        plain = top[0] * top[1] * max(1, dim) < EXACT
+        levels = SEGMENTS if plain else ()  # doubles cannot hold the others' products, nor bounds of them
+        qs, xs = ([*(statistics(m, n) for n in levels), m] for m in (q, x))
         found = Leaders(len(q), best)
         for r in tiles(len(q), TILE[0]):
             for c in tiles(len(x), TILE[1]):
                 if plain:
-                    need = np.maximum(first[r], found.least[r])
-                    a, b = _survivors([s[r] for s in qs], [s[c] for s in xs], need, slack)
-                    if len(a) > DENSE * (r.stop - r.start) * (c.stop - c.start):
-                        score = products(q[r], x[c])[a, b]
-                    else:
-                        score = np.einsum("ij,ij->i", q[r][a], x[c][b]).astype(np.int64)
+                    a, b, score = survivors([s[r] for s in qs], [s[c] for s in xs], np.maximum(first[r], found.least[r]))
+                    score = score.astype(np.int64)
                 else:
                     score = products(q[r], x[c])
                     a, b = (i.ravel() for i in np.indices(score.shape))
