@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -11,16 +13,17 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from starmart.llm.shared import Staging, gathered, shipped, slices, spaced
+from starmart.llm.shared import Staging, returned, shipped, slices
 
 LENGTH = 2048  # tokens of a sequence
 END = 0  # id that ends a document
 OPEN_BINS = 8_192  # sequences that a task keeps open at most
 TASK_PIECES = 20_000  # pieces that a packing task gets, about
-CHARS = 4_000_000
-KNOWN = 1_000_000  # words whose ids a task remembers, about
-TOGETHER = 1_000  # words that are encoded in one text
-SETTLED = "\u0500"  # below, all libraries agree what is a letter
+CHARS = 1_000_000  # of texts whose pieces are returned at a time
+TOGETHER = 1_000  # words that the slower library encodes in one text
+GAP = 10_000  # white space in a row that tiktoken's split is not trusted with
+# Letters that all libraries have known for long, so that they agree what a letter is.
+SETTLED = "\u0000-\u04ff\u4e00-\u9fa5\uac00-\ud7a3"
 
 
 # --- tokens -----------------------------------------------------------------
@@ -60,85 +63,64 @@ def by_ranks(content: str):
     return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
+class Vocabulary:
+    """A tokenizer file and what the libraries make of it, made once in each process that asks. Nothing else is kept between tasks."""
+
+    def __init__(self, file: bytes):
+        self.file = file
+
+    def __getstate__(self) -> dict:
+        return {"file": self.file}
+
+    def made(self) -> tuple:
+        """The tokenizer, its ranks by ``by_ranks``, and the texts that stand for added tokens."""
+        if "_made" not in self.__dict__:
+            import os
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            content = self.file.decode("utf-8")
+            tokenizer, ranks = Tokenizer.from_str(content), by_ranks(content)
+            self._made = tokenizer, ranks, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        return self._made
+
+
+# A space between two characters that are no white space begins a word, whatever stands elsewhere.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+_UNSETTLED = re.compile(f"[^{SETTLED}]")
+_GAP = re.compile(rf"\s{{{GAP}}}")
+
+
 class Encoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library.
 
-    Texts are cut at their spaces where that cannot change the ids (see ``spaced``), and each
-    different word is encoded once while it is remembered. New words are encoded together, a
-    space before each; the lengths of the tokens tell where a word ends. Words of long-known letters
-    go through tiktoken where ``by_ranks`` has found that it gives the same ids.
+    Where ``by_ranks`` has found that tiktoken gives the same ids, texts go through that, which is several times faster; words
+    with letters that the two may tell apart are cut out at spaces, where the split cannot change, and go through tokenizers. So does a
+    whole text that holds an added token, such as the end of a document, or very much white space in a row. Nothing
+    is remembered between texts, so memory is that of the longest text.
     """
 
-    def __init__(self, content: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.ranks = by_ranks(content)
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.bytes[i] = len(token)  # such vocabularies write each byte as one character
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of words that follow a space."""
-        common, other = words, []
-        if self.ranks:
-            common = [w for w in words if w.isascii() or max(w) < SETTLED]
-            other = [w for w in words if not (w.isascii() or max(w) < SETTLED)]
-            words = common + other
-        runs = [part[k : k + TOGETHER] for part in (common, other) for k in range(0, len(part), TOGETHER)]
-        flat, sizes = [self.flat], [self.size]
-        joined = [" " + " ".join(run) for run in runs]
-        if self.ranks:
-            n = -(-len(common) // TOGETHER)
-            found = [np.array(self.ranks.encode_ordinary(t), np.uint32) for t in joined[:n]] + self._encoded(joined[n:])
-        else:
-            found = self._encoded(joined)
-        for run, ids in zip(runs, found):
-            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in run])
-            token_ends = np.cumsum(self.bytes[ids])
-            after = np.searchsorted(token_ends, ends) + 1
-            if len(ids) and token_ends[-1] == ends[-1] and np.array_equal(token_ends[after - 1], ends):
-                flat.append(ids)
-                sizes.append(np.diff(after, prepend=0))
-            else:  # not a vocabulary of bytes: word by word
-                each = self._encoded([" " + w for w in run])
-                flat.extend(each)
-                sizes.append(np.array([len(i) for i in each], np.int64))
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.flat, self.size = np.concatenate(flat), np.concatenate(sizes)
-        self.start = np.cumsum(self.size) - self.size
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, as one call of the tokenizer on it would give them."""
-        if len(self.known) > KNOWN:
-            self._forget()
-        cuts = [spaced(t) for t in texts]
-        rest = [w for words in cuts if words for w in words[1:]]
-        new = list(set(rest).difference(self.known))
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, rest), np.int64, len(rest))
-        heads = self._encoded([t if words is None else words[0] if words else "" for t, words in zip(texts, cuts)])
-        out, done = [], 0
-        for words, head in zip(cuts, heads):
-            n = len(words) - 1 if words else 0
-            own = at[done : done + n]
-            done += n
-            out.append(np.concatenate([head, gathered(self.flat, self.start[own], self.size[own])]))
-        return out
+    def __init__(self, vocabulary: Vocabulary):
+        self.tokenizer, self.ranks, self.added = vocabulary.made()
+
+    def _slowly(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def ids(self, text: str) -> np.ndarray:
+        """What one call of the tokenizer on the text gives."""
+        if not self.ranks or any(a in text for a in self.added) or (len(text) >= GAP and _GAP.search(text)):
+            return self._slowly(text)
+        if text.isascii() or not _UNSETTLED.search(text):
+            return np.array(self.ranks.encode_ordinary(text), "<u4")
+        out, before = [], ""
+        for odd, run in itertools.groupby(_CUT.split(text), lambda w: bool(_UNSETTLED.search(w))):
+            words = list(run)
+            for k in range(0, len(words), TOGETHER if odd else len(words)):
+                part = before + " ".join(words[k : k + TOGETHER] if odd else words)
+                out.append(self._slowly(part) if odd else np.array(self.ranks.encode_ordinary(part), "<u4"))
+                before = " "
+        return np.concatenate(out)
 
 
 def cut(size: int, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -154,17 +136,15 @@ def pieces(docs: DataFrame, tokenizer: str, keep_ids: bool = True, length: int =
     A document's ids are those of its whole text, NULL counting as empty, and ``END``.
     ``tokenizer`` is the path of a file that the driver reads and sends to the tasks.
     """
-    content = docs.sparkSession.sparkContext.broadcast({"file": shipped(docs.sparkSession, tokenizer).value})
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(shipped(docs.sparkSession, tokenizer).value))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = content.value  # one per Python worker, so later tasks find the encoder and what it knows
-        encoder = held.setdefault("encoder", None) or Encoder(held["file"].decode("utf-8"))
-        held["encoder"] = encoder
+        encoder = Encoder(vocabulary.value)
 
         def work(part: pd.DataFrame) -> pd.DataFrame:
             rows = []
-            for doc_id, ids in zip(part["doc_id"].astype("Int64"), encoder.ids([t or "" for t in part["text"]])):
-                ids = np.append(ids, np.uint32(END)).astype("<u4")
+            for doc_id, text in zip(part["doc_id"].astype("Int64"), part["text"]):
+                ids = np.append(encoder.ids(text or ""), np.uint32(END)).astype("<u4")
                 for k, (start, size) in enumerate(cut(len(ids), length)):
                     own = ids[start : start + size]
                     rows.append((doc_id, k, start, size, zlib.crc32(own.tobytes()), own.astype(np.int32) if keep_ids else None))
@@ -172,7 +152,9 @@ def pieces(docs: DataFrame, tokenizer: str, keep_ids: bool = True, length: int =
             frame = pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
             return frame if keep_ids else frame.drop(columns="ids")
 
-        yield from slices(work, "text", CHARS)(batches)
+        for batch in batches:
+            yield from slices(work, "text", CHARS)(iter([batch]))
+            returned()
 
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -63,6 +66,15 @@ def slices(
     return run
 
 
+def returned() -> None:
+    """Give free memory back to the system. A Python worker lives on after its task, and others run beside it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
 

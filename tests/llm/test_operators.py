@@ -429,7 +429,6 @@ def test_packing(docs, nothing):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     out = packing.pack_documents(docs, path).collect()
     truth = collections.defaultdict(list)
     for i, t, _ in texts():
@@ -465,10 +464,27 @@ ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "\n", "
 
 
 def test_odd_texts_encode_as_a_whole():
-    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
-        encoder = packing.Encoder(file.read())
-    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in ODD]
-    assert [list(i) for i in encoder.ids(ODD)] == whole == [list(i) for i in encoder.ids(ODD)]
+    """As the library itself encodes them, with the tokenizer as the file defines it."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, "rb") as file:
+        encoder = packing.Encoder(packing.Vocabulary(file.read()))
+    assert encoder.ranks and tokenizer.encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
+    draw = random.Random(8)
+    signs = ["a", "the", " ", " ", " ", "\n", "\t", "\xa0", "\x1c", "\u2003", "'s", "12", "!", "é", "漢", "語", "ђ", "ԥ", "🙂", "x́", "٣", "<|endoftext|>", "\x00", "가"]
+    made = ["".join(draw.choices(signs, k=draw.randint(1, 40))) for _ in range(4000)]
+    long = [" " * 30_000 + "x", "a " + "\n" * 20_000 + "ԥ", "漢字" * 20_000, "word ԥ " * 5_000]
+    for text in [*ODD, *made, *long]:
+        assert encoder.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:80]
+
+
+def test_a_vocabulary_goes_to_tasks_without_what_was_made_of_it():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        vocabulary = packing.Vocabulary(file.read())
+    packing.Encoder(vocabulary)
+    assert list(vocabulary.__getstate__()) == ["file"]
 
 
 # --- op9 --------------------------------------------------------------------
