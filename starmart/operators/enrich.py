@@ -6,18 +6,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starmart.contracts import DIMENSION_KEYS
 from starmart.operators.keys import SPREAD, frequent_rows, lookup
 
-# Which key leads to which dimension, in join order.
-DIMENSION_KEYS = {
-    "dim_customers": "customer_key",
-    "dim_sellers": "seller_key",
-    "dim_products": "product_key",
-    "dim_stores": "store_key",
-    "dim_suppliers": "supplier_key",
-    "dim_dates": "date_key",
-}
-
 # Derived names and the columns they are made of.
 FULL_NAMES = {
     "customer_name": ("customer_first_name", "customer_last_name"),

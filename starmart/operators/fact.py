@@ -82,5 +82,5 @@ def build_fact(
     if "sale_key" in columns:
         if staging is None:
             raise ValueError("sale_key needs a staging area")
-        fact = assign_dense_key(fact.select(*_ORDER), _ORDER, "sale_key", staging)
+        fact = assign_dense_key(fact.select(*[c for c in fact.columns if c in (*_ORDER, SPREAD)]), _ORDER, "sale_key", staging)
     return fact.select(*columns)

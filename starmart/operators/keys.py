@@ -54,22 +54,23 @@ def assign_dense_key(df: DataFrame, order: Sequence[str], out: str, staging: Sta
     table has one row per shuffle partition. ``order`` must tell apart all
     rows that differ, so that the numbers do not depend on the partitioning.
 
-    The input is staged too, because finding the range bounds reads it once more.
-    It is staged with numbers that take part in the split, after ``order``, so
-    a mass of equal rows spreads over many ranges.
+    Numbers that scatter rows take part in the split, after ``order``, so a mass of equal rows spreads over many
+    ranges. If ``df`` brings stored ones (``SPREAD``), its rows are written once, placed; the offsets come from
+    that. Otherwise the input is staged with new ones first.
     """
     slot, ranged = "_slot", "_range"
     ascending = [F.col(c).asc_nulls_first() for c in order]
-    source = staging.path(f"{out}-input")
+    source = None if SPREAD in df.columns else staging.path(f"{out}-input")
     placed = (
-        staging.keep_at(with_spread(df), source)
+        (staging.keep_at(with_spread(df), source) if source else df)
         .repartitionByRange(*ascending, SPREAD)
         .drop(SPREAD)
         .sortWithinPartitions(*ascending)
         .withColumn(slot, F.monotonically_increasing_id())
     )
     placed = staging.keep(placed, out).withColumn(ranged, F.shiftright(slot, _POSITION_BITS))
-    staging.drop(source)
+    if source:
+        staging.drop(source)
     before = Window.orderBy(ranged).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(ranged)
@@ -79,7 +80,7 @@ def assign_dense_key(df: DataFrame, order: Sequence[str], out: str, staging: Sta
     offsets = staging.keep(offsets, f"{out}-offsets")
     position = F.col(slot).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return placed.join(F.broadcast(offsets), ranged).select(
-        (F.col("offset") + position + 1).alias(out), *df.columns
+        (F.col("offset") + position + 1).alias(out), *[c for c in df.columns if c != SPREAD]
     )
 
 

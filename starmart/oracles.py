@@ -269,6 +269,13 @@ ORACLES: dict[str, str] = {
     "dq_pk_violations": """
         SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "dq_dense_key": """
+        WITH o AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 10 <> 0),
+        k AS (SELECT k FROM o UNION ALL SELECT k FROM o WHERE k % 7 = 0),
+        b AS (SELECT k AS bound, 1 AS n FROM k UNION ALL SELECT k + 1, -1 FROM k
+          UNION ALL SELECT 1, -1 UNION ALL SELECT (SELECT count(*) FROM k) + 1, 1)
+        SELECT CAST(bound AS BIGINT) AS bound, CAST(sum(n) AS BIGINT) AS balance
+        FROM b GROUP BY bound HAVING sum(n) <> 0""",
     "dq_fk_violations": _with("""
         SELECT f.product_key, count(*) AS row_count FROM fact f
         WHERE f.product_key IS NOT NULL AND NOT EXISTS (

@@ -13,6 +13,7 @@ from starmart.operators.marts import MARTS, decided_by_key, key_groups, mart_fro
 from starmart.plans.star import Star, stored_dims
 from starmart.sources.staging import Staging
 from starmart.sources.tables import JdbcStore, ParquetStore, at_once
+from starmart.sources.versions import Snapshot
 
 # The dimensions each mart reads.
 MART_DIMENSIONS = {
@@ -51,9 +52,7 @@ def shared_groups(fact: DataFrame, staging: Staging) -> dict[str, DataFrame]:
     return groups
 
 
-def store_marts(
-    star: ParquetStore | JdbcStore, target: ParquetStore | JdbcStore, staging: Staging
-) -> dict[str, int]:
+def store_marts(star: ParquetStore | Snapshot, target: ParquetStore | JdbcStore, staging: Staging) -> dict[str, int]:
     """Refresh all mart tables from stored star tables; the rows written per mart.
 
     Rows are put in order only where a limit asks for it.

@@ -14,6 +14,7 @@ from starmart.operators.fact import resolve_store_key, resolve_supplier_key
 from starmart.operators.keys import SPREAD
 from starmart.operators.marts import MARTS
 from starmart.operators.quality import (
+    check_dense,
     check_foreign_key,
     check_nulls,
     check_numeric_fit,
@@ -28,6 +29,7 @@ from starmart.plans.wide import table, wide_sales
 from starmart.sources.sales_csv import SOURCE_ID, load_sales, malformed_rows
 from starmart.sources.staging import Staging
 from starmart.sources.tables import ParquetStore, count_tables
+from starmart.sources.versions import VersionedStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,6 +253,14 @@ def dq_pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_unique(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def dq_dense_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order numbers of which every tenth is missing and every seventh of the rest comes twice."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey").where(key % 10 != 0)
+    found = check_dense(orders.unionAll(orders.where(key % 7 == 0)), "o_orderkey")
+    return found.select(F.col("bound").cast("bigint").alias("bound"), F.col("balance").cast("bigint").alias("balance"))
+
+
 def dq_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = Star(wide_sales(spark, sf_dir), Staging(spark))
     incomplete = star.dim("dim_products").where(F.col("product_key") % 10 != 0)
@@ -279,9 +289,9 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer mart, loaded twice into one table."""
+    """The customer mart, published twice in one folder."""
     mart = "mart_sales_customers"
-    store = ParquetStore(spark, Staging(spark).path("marts"))
+    store = VersionedStore(spark, Staging(spark).path("marts"))
     star = mart_star(spark, sf_dir, mart)
     for _ in range(2):
         store.write(mart_of(star, mart), mart, MART_CONTRACTS[mart])
@@ -289,17 +299,17 @@ def full_refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_refresh_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All star tables, loaded from half of the sales and again from all: rows and keys of each."""
+    """All star tables, published from half of the sales and again from all: rows and keys of each."""
     wide = wide_sales(spark, sf_dir)
-    target = ParquetStore(spark, Staging(spark).path("star"))
+    store = VersionedStore(spark, Staging(spark).path("star"))
     for sales in (wide.where(F.col("sale_id") % 2 == 0), wide):
-        staging = Staging(spark)
-        draft = ParquetStore(spark, staging.path("draft"))
+        staging, draft = Staging(spark), store.draft()
         raw = stage_records(sales, staging)
         Star(raw, staging).store(draft)
         check_star(draft, raw.count())
-        target.replace(draft, STAR_TABLES)
+        store.publish(draft, STAR_TABLES)
         staging.drop()
+    target = store.snapshot()
 
     def keys(name: str) -> DataFrame:
         key = F.col(STAR[name].names[0]).cast("long")
@@ -331,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "enriched_sales_large_dims": enriched_sales_large_dims,
     **{name: _mart(name) for name in MARTS},
     "dq_pk_violations": dq_pk_violations,
+    "dq_dense_key": dq_dense_key,
     "dq_fk_violations": dq_fk_violations,
     "dq_numeric_overflow": dq_numeric_overflow,
     "dq_null_contract": dq_null_contract,

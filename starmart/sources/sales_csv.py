@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 import re
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starmart.contracts import RAW
@@ -21,7 +22,9 @@ REJECTED = "rejected_values"
 MALFORMED = "malformed_row"  # struct of the file and the text of a row with too many or too few cells
 _ROW_TEXT = "_malformed_text"
 
-HEADER_READERS = 32  # files whose first line is read at the same time
+SMALL_FILE = 256 * 1024  # bytes up to which a whole file is read for its first line
+HEADERS = 1_000  # different first lines that the driver takes
+_WHOLE = str(1 << 40)  # bytes of a scan's task, so that a file is a task
 
 
 def find_sales_files(spark: SparkSession, root: str, name_glob: str = SALES_FILES) -> list[str]:
@@ -43,7 +46,7 @@ def read_sales_csv(
     """The columns of ``schema`` as cleaned text, from all matching files.
 
     A headered scan takes its names from one file and reads the others by
-    position. So the first line of every file is looked at, files with the same
+    position. So executors look at the first line of every file (``header_groups``), files with the same
     header are scanned together, and the scans are joined by name.
 
     ``multi_line`` allows line ends inside quotes. Spark cannot split such a
@@ -60,20 +63,15 @@ def _cleaned(
     spark: SparkSession, root: str, name_glob: str, schema: T.StructType, multi_line: bool, same_header: bool
 ) -> DataFrame:
     """What ``read_sales_csv`` returns, and ``MALFORMED``."""
-    files = find_sales_files(spark, root, name_glob)
-    if same_header:
-        files = files[:1]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
-        for path, header in zip(files, pool.map(lambda f: _header(spark, f), files)):
-            groups.setdefault(header, []).append(path)
+    groups = header_groups(spark, root, name_glob, same_header)
+    files = file_names(spark, root, name_glob) if len(groups) > 1 else {}
 
     frame = None
-    for header, paths in groups.items():
+    for header, example in groups.items():
         names = [SALE_ID if name == SOURCE_ID else name for name in header]
         missing = [name for name in schema.names if name not in names]
         if missing:
-            raise ValueError(f"{paths[0]} lacks columns: {', '.join(missing)}")
+            raise ValueError(f"{example} lacks columns: {', '.join(missing)}")
         text = T.StructType([T.StructField(name, T.StringType()) for name in [*header, _ROW_TEXT]])
         reader = spark.read if len(groups) > 1 else _below(spark, root, name_glob)
         scan = (
@@ -81,7 +79,7 @@ def _cleaned(
             .options(header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE")
             .option("enforceSchema", False)  # a header that differs after all stops the job
             .option("columnNameOfCorruptRecord", _ROW_TEXT)
-            .csv([_literal(path) for path in paths] if len(groups) > 1 else root)
+            .csv([_literal(path) for path in files[header]] if len(groups) > 1 else root)
         )
         source = F.struct(F.col("_metadata.file_path").alias("source_file"), F.col(_ROW_TEXT).alias("source_text"))
         malformed = F.when(F.col(_ROW_TEXT).isNotNull(), source).alias(MALFORMED)
@@ -123,17 +121,78 @@ def _literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names from the first line of one file; nothing else is read."""
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    stream = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(location)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    names = tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), []))
+# --- headers ----------------------------------------------------------------
+
+
+def small_first_lines(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
+    """(``path``, ``line``) of the files of up to ``SMALL_FILE`` bytes, many of them to a task."""
+    files = _below(spark, root, name_glob).format("binaryFile").load(root).where(F.col("length") <= SMALL_FILE)
+    line = F.regexp_extract(F.col("content").cast("string"), r"^\x{FEFF}?([^\r\n]*)", 1)
+    return files.select("path", line.alias("line"))
+
+
+def large_first_lines(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
+    """The same of the larger files, each a task that stops after the first rows.
+
+    The scan belongs to a session of its own, in which a file is not split or joined with others.
+    """
+    session = spark.newSession()
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        session.conf.set(name, _WHOLE)
+    session.conf.unset("spark.sql.files.maxPartitionNum")
+    scan = _below(session, root, name_glob).text(root).where(F.col("_metadata.file_size") > SMALL_FILE)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                if batch["start"].iloc[0] == 0:
+                    yield pd.DataFrame({"path": [unquote(batch["path"].iloc[0])], "line": [batch["value"].iloc[0]]})
+                return
+
+    rows = scan.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    return rows.mapInPandas(first, "path string, line string")
+
+
+def _names(line: str, path: str) -> tuple[str, ...]:
+    names = tuple(next(csv.reader([line.lstrip("\ufeff")]), []))
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
         raise ValueError(f"{path} repeats columns: {', '.join(repeated)}")
     return names
+
+
+def header_groups(spark: SparkSession, root: str, name_glob: str = SALES_FILES, same_header: bool = False) -> dict[tuple[str, ...], str]:
+    """The different headers of all matching files, each with the first file that has it; an error if there is no file.
+
+    First lines are read and grouped by executors, and only the different ones come to the driver, ``HEADERS`` of them at
+    most. Files without a byte have no records and are passed over. ``same_header`` looks at one file only.
+    """
+    listed = _below(spark, root, name_glob).format("binaryFile").load(root)
+    files, first = listed.agg(F.count(F.lit(1)), F.min("path")).first()
+    if not files:
+        raise FileNotFoundError(f"no file matching {name_glob} below {root}")
+    if same_header:
+        line = spark.read.text(_literal(first)).first()
+        return {_names(line[0] if line else "", first): first}
+    found = []
+    for lines in (small_first_lines(spark, root, name_glob), large_first_lines(spark, root, name_glob)):
+        grouped = lines.groupBy("line").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("files"))
+        found += grouped.limit(HEADERS + 1).collect()
+    seen = sum(r["files"] for r in found)
+    if len(found) > HEADERS:
+        raise ValueError(f"the files below {root} have more than {HEADERS} different first lines")
+    if seen != files:
+        raise OSError(f"{files} files below {root}, first lines of {seen}: they changed meanwhile")
+    groups: dict[tuple[str, ...], str] = {}
+    for r in sorted(found, key=lambda r: r["path"]):
+        groups.setdefault(_names(r["line"], r["path"]), r["path"])
+    return groups
+
+
+def file_names(spark: SparkSession, root: str, name_glob: str = SALES_FILES) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header. Only needed where headers differ, since a scan of some files has to be told which."""
+    found = [r for read in (small_first_lines, large_first_lines) for r in read(spark, root, name_glob).collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(found, key=lambda r: r["path"]):
+        groups.setdefault(_names(r["line"], r["path"]), []).append(r["path"])
+    return groups

@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, types as T
 
-from starmart.contracts import MARTS, TABLE_KEYS
+from starmart.contracts import DIMENSION_KEYS, MARTS, STAR, TABLE_KEYS
 from starmart.sources.tables import JdbcStore
 
 # Variable names and connection defaults of the two databases.
@@ -28,6 +28,30 @@ MART_DEFAULTS = {
 PROJECT_ROOT = "/opt/project"
 
 
+# How the two databases spell the types of the contracts.
+STAR_TYPES = {"bigint": "BIGINT", "int": "INT", "string": "TEXT", "date": "DATE"}
+MART_TYPES = {"bigint": "Int64", "int": "Int32", "string": "String", "double": "Float64"}
+COUNTED = "total_orders"  # never negative, like keys
+
+
+def star_column(table: str, column: T.StructField) -> str:
+    """Type and constraints of a column of the star: the first is the key, and keys of dimensions in the fact refer to them."""
+    kind = column.dataType
+    spelled = f"NUMERIC({kind.precision},{kind.scale})" if isinstance(kind, T.DecimalType) else STAR_TYPES[kind.simpleString()]
+    if table in STAR and column.name == STAR[table].names[0]:
+        return f"{spelled} PRIMARY KEY"
+    referred = [name for name, key in DIMENSION_KEYS.items() if table == "fact_sales" and key == column.name]
+    return f"{spelled} REFERENCES {referred[0]}({column.name})" if referred else spelled
+
+
+def mart_column(table: str, column: T.StructField) -> str:
+    """Type of a column of a mart; whether it may be NULL is part of it."""
+    kind = MART_TYPES[column.dataType.simpleString()]
+    if kind == "Int64" and (column.name in TABLE_KEYS[table] or column.name == COUNTED):
+        kind = "UInt64"
+    return f"Nullable({kind})" if column.nullable else kind
+
+
 def _values(defaults: Mapping[str, str], env: Mapping[str, str]) -> dict[str, str]:
     return {name: env.get(name, default) for name, default in defaults.items()}
 
@@ -60,6 +84,7 @@ def star_database(spark: SparkSession, env: Mapping[str, str] = os.environ) -> J
         },
         schema_name="public",
         write_options={"cascadeTruncate": "true", "batchsize": "10000", "numPartitions": "64"},
+        column_types=star_column,
     )
 
 
@@ -78,4 +103,5 @@ def mart_database(spark: SparkSession, env: Mapping[str, str] = os.environ) -> J
         create_options={
             mart: f"ENGINE = MergeTree() ORDER BY ({', '.join(TABLE_KEYS[mart])})" for mart in MARTS
         },
+        column_types=mart_column,
     )

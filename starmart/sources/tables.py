@@ -95,7 +95,9 @@ class ParquetStore:
 class JdbcStore:
     """Tables of one database. ``properties`` holds user, password and driver.
 
-    ``create_options`` ends the statement that creates a missing table, by table.
+    ``column_types`` spells a column of a contract in the database's words. With it a missing table is created before
+    it is written, with the types, nullability, key and references that the contracts declare, which Spark's own writer
+    cannot all say. ``create_options`` ends that statement, by table.
     """
 
     spark: SparkSession
@@ -104,6 +106,7 @@ class JdbcStore:
     schema_name: str | None = None
     write_options: Mapping[str, str] = field(default_factory=dict)
     create_options: Mapping[str, str] = field(default_factory=dict)
+    column_types: Callable[[str, T.StructField], str] | None = None
 
     def qualified(self, table: str) -> str:
         return f"{self.schema_name}.{table}" if self.schema_name else table
@@ -144,7 +147,29 @@ class JdbcStore:
             chosen["createTableOptions"] = self.create_options[table]
         return chosen
 
+    def create_statement(self, table: str, schema: T.StructType) -> str:
+        """The statement that creates ``table`` with the columns of its contract, if there is none."""
+        columns = ", ".join(f"{f.name} {self.column_types(table, f)}" for f in schema.fields)
+        end = self.create_options.get(table, "")
+        return f"CREATE TABLE IF NOT EXISTS {self.qualified(table)} ({columns}){end and ' ' + end}"
+
+    def send(self, statement: str) -> None:
+        """Let the database run a statement, on a connection of the driver's that Spark's session can load."""
+        jvm = self.spark.sparkContext._jvm
+        settings = jvm.java.util.Properties()
+        for name, value in self.properties.items():
+            settings.setProperty(name, value)
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        driver = loader.loadClass(self.properties["driver"]).getDeclaredConstructor().newInstance()
+        connection = driver.connect(self.url, settings)
+        try:
+            connection.createStatement().execute(statement)
+        finally:
+            connection.close()
+
     def write(self, df: DataFrame, table: str, schema: T.StructType, refresh: bool = True) -> int:
+        if self.column_types:
+            self.send(self.create_statement(table, schema))
         counted, rows = _observed(project_to(df, schema))
         mode = "overwrite" if refresh else "append"
         counted.write.mode(mode).jdbc(self.url, self.qualified(table), properties=self.options(table, refresh))

@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 from conftest import SALE, write_sales
 from starmart.contracts import RAW, subset
 from starmart.functions.cleaning import explode_rejects
-from starmart.sources.sales_csv import REJECTED, find_sales_files, load_sales, malformed_rows, read_sales_csv
+from starmart.sources import sales_csv
+from starmart.sources.sales_csv import (
+    REJECTED,
+    find_sales_files,
+    header_groups,
+    large_first_lines,
+    load_sales,
+    malformed_rows,
+    read_sales_csv,
+    small_first_lines,
+)
 
 
 def _load(spark, root, **options):
@@ -140,3 +150,55 @@ def test_a_byte_order_mark_is_not_part_of_the_first_name(spark, tmp_path, multi_
     plain = (tmp_path / "MOCK_DATA.csv").read_bytes()
     (tmp_path / "MOCK_DATA.csv").write_bytes(b"\xef\xbb\xbf" + plain)
     assert set(_load(spark, tmp_path, multi_line=multi_line)) == {1, 2}
+
+
+def test_headers_of_many_small_files_are_read_by_executors(spark, tmp_path, monkeypatch):
+    """Of 5 000 files only the two different headers come to the driver, and no file is opened there."""
+    layout = subset(RAW, ["sale_id", "sale_quantity", "store_city"])
+    for i in range(5000):
+        folder = tmp_path / f"part {i % 20}"
+        folder.mkdir(exist_ok=True)
+        text = f"store_city,extra,id,sale_quantity\nLima,x,{i},2\n" if i % 1000 == 7 else f"id,sale_quantity,store_city\n{i},2,Lima\n"
+        (folder / f"MOCK_DATA_{i}.csv").write_text(text)
+    collected, collect = [], type(spark.range(0)).collect
+    with monkeypatch.context() as watched:
+        watched.setattr(type(spark.range(0)), "collect", lambda df: collected.append(collect(df)) or collected[-1])
+        groups = header_groups(spark, str(tmp_path))
+    assert [h for h in groups] == [("id", "sale_quantity", "store_city"), ("store_city", "extra", "id", "sale_quantity")]
+    assert sum(map(len, collected)) <= 4
+    assert small_first_lines(spark, str(tmp_path), sales_csv.SALES_FILES).rdd.getNumPartitions() < 500
+    df = load_sales(spark, str(tmp_path), schema=layout)
+    assert df.agg(F.count("*"), F.count_distinct("sale_id"), F.sum("sale_quantity")).first()[:] == (5000, 5000, 10000)
+    assert df.where("store_city = 'Lima'").count() == 5000
+
+
+def test_large_files_are_opened_and_not_read(spark, tmp_path, monkeypatch):
+    """Whatever counts as large, the same headers and rows; one task looks at the beginning of each large file."""
+    write_sales(tmp_path / "MOCK_DATA_1 %20+é.csv", *[{"id": str(i)} for i in range(3000)])
+    write_sales(tmp_path / "b" / "MOCK_DATA_2.csv", {"id": "9000"}, columns=list(reversed(SALE)))
+    (tmp_path / "b" / "MOCK_DATA_2.csv").write_bytes(b"\xef\xbb\xbf" + (tmp_path / "b" / "MOCK_DATA_2.csv").read_bytes())
+    found = header_groups(spark, str(tmp_path))
+    rows = load_sales(spark, str(tmp_path)).count()
+    assert rows == 3001 and len(found) == 2
+    assert [r["path"][-20:] for r in large_first_lines(spark, str(tmp_path), sales_csv.SALES_FILES).collect()] == ["OCK_DATA_1 %20+é.csv"]
+    for size in (-1, 10**9):
+        monkeypatch.setattr(sales_csv, "SMALL_FILE", size)
+        assert header_groups(spark, str(tmp_path)) == found
+        assert load_sales(spark, str(tmp_path)).count() == rows
+    monkeypatch.setattr(sales_csv, "SMALL_FILE", -1)
+    assert large_first_lines(spark, str(tmp_path), sales_csv.SALES_FILES).rdd.getNumPartitions() == 2
+
+
+def test_empty_files_and_too_many_headers(spark, tmp_path, monkeypatch):
+    """A file without a byte has no records and no header to be missed."""
+    (tmp_path / "MOCK_DATA_1.csv").write_text("")
+    with pytest.raises(FileNotFoundError, match="MOCK_DATA"):
+        read_sales_csv(spark, str(tmp_path))
+    write_sales(tmp_path / "MOCK_DATA_2.csv", {})
+    assert read_sales_csv(spark, str(tmp_path)).count() == 1
+    (tmp_path / "MOCK_DATA_3.csv").write_text("\n")
+    with pytest.raises(ValueError, match="MOCK_DATA_3.csv lacks columns"):
+        read_sales_csv(spark, str(tmp_path))
+    monkeypatch.setattr(sales_csv, "HEADERS", 1)
+    with pytest.raises(ValueError, match="more than 1 different"):
+        read_sales_csv(spark, str(tmp_path))

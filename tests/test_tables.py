@@ -2,7 +2,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.contracts import MARTS, contract
+from starmart.contracts import MARTS, RAW, STAR, contract
 from starmart.sources import staging as staging_module
 from starmart.sources.settings import mart_database, source_root, star_database
 from starmart.sources.staging import Staging, shared_folder
@@ -124,3 +124,83 @@ def test_database_settings_come_from_the_environment():
     for name in MARTS:
         assert "ORDER BY (" in marts.options(name, refresh=True)["createTableOptions"]
     assert source_root({}) == "/opt/project" and source_root({"PROJECT_ROOT": "/x"}) == "/x"
+
+
+class _Database:
+    """Stands in for the driver classes behind a session, and notes what a connection is told."""
+
+    def __init__(self):
+        self.told = []
+        self.sparkContext = self._jvm = self.java = self.util = self.lang = self.Thread = self
+
+    def __getattr__(self, name):
+        if name in ("currentThread", "getContextClassLoader", "getDeclaredConstructor", "newInstance", "createStatement"):
+            return lambda: self
+        raise AttributeError(name)
+
+    def Properties(self):
+        self.settings = {}
+        return self
+
+    def setProperty(self, name, value):
+        self.settings[name] = value
+
+    def loadClass(self, name):
+        self.told.append(name)
+        return self
+
+    def connect(self, url, settings):
+        self.told.append((url, dict(settings.settings)))
+        return self
+
+    def execute(self, statement):
+        self.told.append(statement)
+
+    def close(self):
+        self.told.append("closed")
+
+
+def test_marts_are_created_as_their_contract_says():
+    database = _Database()
+    store = mart_database(database, {"CLICKHOUSE_PASSWORD": "p"})
+    store.send(store.create_statement("mart_product_quality", MARTS["mart_product_quality"]))
+    assert database.told == [
+        "com.clickhouse.jdbc.ClickHouseDriver",
+        (store.url, dict(store.properties)),
+        "CREATE TABLE IF NOT EXISTS mart_product_quality (product_key UInt64, product_name Nullable(String), "
+        "product_rating Nullable(Float64), product_reviews Nullable(Int64), total_units_sold Int64, total_orders UInt64, "
+        "total_revenue Float64, revenue_per_review Nullable(Float64)) ENGINE = MergeTree() ORDER BY (product_key)",
+        "closed",
+    ]
+    for name, schema in MARTS.items():
+        sent = store.create_statement(name, schema)
+        assert [f.name for f in schema.fields if f"{f.name} Nullable(" in sent] == [f.name for f in schema.fields if f.nullable]
+    assert "year_num Int32, quarter_num Int32" in store.create_statement("mart_sales_time", MARTS["mart_sales_time"])
+
+
+def test_star_tables_are_created_with_keys_and_references():
+    store = star_database(None, {})
+    assert store.create_statement("dim_dates", STAR["dim_dates"]).startswith(
+        "CREATE TABLE IF NOT EXISTS public.dim_dates (date_key INT PRIMARY KEY, full_date DATE, day_num INT"
+    )
+    fact = store.create_statement("fact_sales", STAR["fact_sales"])
+    assert "sale_key BIGINT PRIMARY KEY" in fact and "supplier_key BIGINT REFERENCES dim_suppliers(supplier_key)" in fact
+    assert fact.count("REFERENCES") == 6 and fact.endswith("sale_total_price NUMERIC(14,2))")
+    assert "product_rating NUMERIC(4,2)" in store.create_statement("dim_products", STAR["dim_products"])
+    assert store.create_statement("mock_data", RAW).startswith("CREATE TABLE IF NOT EXISTS public.mock_data (sale_id BIGINT, sale_date DATE")
+
+
+def test_a_table_is_created_before_it_is_written(spark, monkeypatch):
+    """The statement goes first; rows then follow into a table that exists."""
+    done = []
+    monkeypatch.setattr(JdbcStore, "send", lambda self, statement: done.append(statement.split(" (")[0]))
+
+    def jdbc(writer, url, table, properties):
+        done.append((table, properties.get("truncate")))
+        writer.format("noop").save()
+
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.jdbc", jdbc)
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrameWriter.jdbc", jdbc, raising=False)
+    df = spark.range(4).select(F.col("id").alias("product_key"), *[F.lit(None).alias(n) for n in MARTS["mart_product_quality"].names[1:]])
+    assert mart_database(spark, {}).write(df, "mart_product_quality", MARTS["mart_product_quality"]) == 4
+    assert done == ["CREATE TABLE IF NOT EXISTS mart_product_quality", ("mart_product_quality", "true")]
