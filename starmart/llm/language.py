@@ -109,7 +109,7 @@ def learned(docs: DataFrame, sample: int = SAMPLE) -> dict:
     bounded number of them per language. Where a text is NULL or a language has
     no n-grams, nothing is learned.
     """
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(fold(F.col("doc_id"), FOLDS) != HELD)
+    rows = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL").where(fold(F.col("doc_id"), FOLDS) != HELD)
     part = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - PART_BITS)
     sizes = rows.groupBy("lang", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     so_far = F.sum("n").over(Window.partitionBy("lang").orderBy("part"))
@@ -138,7 +138,8 @@ def identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     The language whose filter contains most of the text's n-grams, after correction for
     false positives; of equals the first by name. ``score`` is the share it contains. The whole text is
     read. A NULL text or one without a letter is ``und`` with score 0, and so is
-    every text if no language could be learned. ``lang`` is used for learning alone.
+    every text if no language could be learned. ``lang`` is used for learning alone. Repeated rows stay, an
+    empty table gives no rows, and other columns are not looked at.
     """
     spark = docs.sparkSession
     filters = spark.sparkContext.broadcast(learned(docs, sample))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starmart.llm.shared import let, row_of, running_sums
+
 MATCHES = "array<struct<licence:string,start:int,end:int>>"
 
 # Sentences of licence texts and notices, in normalised form.
@@ -179,10 +181,6 @@ for _name in SPDX:
 ANCHORS = ["spdx license identifier", "is free software you can redistribute it", "is distributed in the hope", "license", ""]
 
 
-def _let(value: Column, use) -> Column:
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def normalised(sentence: Column) -> Column:
     """Lower case, one space for each run of what is neither letter nor digit, British spelling as American."""
     plain = F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
@@ -193,17 +191,13 @@ def _pieces(text: Column) -> Column:
     """(start, end, plain) of the lines of a text, cut at sentence ends too, without those that have neither letter nor digit."""
     # One character for one, so that offsets stay.
     parts = F.split(F.regexp_replace(text, r"([.!?])\s", "$1\n"), "\n", -1)
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    ends = F.aggregate(
-        F.transform(parts, lambda p: F.length(p) + 1),
-        begin,
-        lambda state, n: F.struct((state["at"] + n).alias("at"), F.concat(state["out"], F.array(state["at"] + n)).alias("out")),
-        lambda state: state["out"],
-    )
-    placed = F.zip_with(
-        parts, ends, lambda p, e: F.struct((e - 1 - F.length(p)).alias("start"), (e - 1).alias("end"), normalised(p).alias("plain"))
-    )
-    return F.filter(placed, lambda p: p["plain"] != "")
+
+    def placed(ps: Column) -> Column:
+        ends = running_sums(F.transform(ps, lambda p: F.length(p) + 1))
+        span = lambda p, e: F.struct((e - 1 - F.length(p)).alias("start"), (e - 1).alias("end"), normalised(p).alias("plain"))
+        return F.zip_with(ps, ends, span)
+
+    return F.filter(let(parts, placed), lambda p: p["plain"] != "")
 
 
 def _known(names: list[str]) -> tuple[Column, Column]:
@@ -243,7 +237,7 @@ def _known(names: list[str]) -> tuple[Column, Column]:
                 F.when(fits, F.concat(state["out"], F.array(found))).otherwise(state["out"]).alias("out"),
             )
 
-        return _let(longest(k), step)
+        return let(longest(k), step)
 
     return possible, F.aggregate(F.sequence(F.lit(0), F.size("pieces") - 1), begin, add, lambda state: state["out"])
 
@@ -260,10 +254,10 @@ def licensed(docs: DataFrame) -> DataFrame:
 
     The tables of sentences and rules are small and fixed, so they are part of the
     expression: a row is worked on where it lies and nothing is shuffled. A NULL or
-    empty text has no licence; repeated rows stay; other columns stay in ``_doc``.
+    empty text has no licence; repeated rows stay; other columns stay in ``_doc``; an empty table gives no rows.
     """
     names = list(SENTENCES)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    rows = docs.select(row_of(docs))
     text = F.coalesce(F.col("_doc.text").cast("string"), F.lit(""))
     none = F.array().cast("array<struct<s:int,start:int,end:int>>")
     possible, known = _known(names)
@@ -277,8 +271,10 @@ def licensed(docs: DataFrame) -> DataFrame:
         ]
     )
 
+    rows = rows.withColumn("order", F.transform("sentences", lambda x: x["s"]))
+
     def at(k: Column) -> Column:
-        here = lambda rule: F.slice(F.transform("sentences", lambda x: x["s"]), k + 1, F.size(rule["order"])) == rule["order"]
+        here = lambda rule: F.slice("order", k + 1, F.size(rule["order"])) == rule["order"]
         return F.get(F.filter(rules, here), F.lit(0))
 
     begin = F.struct(F.lit(0).alias("next"), F.array().cast(MATCHES).alias("out"))
@@ -295,10 +291,11 @@ def licensed(docs: DataFrame) -> DataFrame:
                 F.when(fits, F.concat(state["out"], F.array(found))).otherwise(state["out"]).alias("out"),
             )
 
-        return _let(at(k), step)
+        return let(at(k), step)
 
     found = F.aggregate(F.sequence(F.lit(0), F.size("sentences") - 1), begin, add, lambda state: state["out"])
-    return rows.withColumn("matches", F.when(F.size("sentences") > 0, found).otherwise(F.array().cast(MATCHES)))
+    matches = F.when(F.size("sentences") > 0, found).otherwise(F.array().cast(MATCHES))
+    return rows.select("_doc", "sentences", matches.alias("matches"))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starmart.llm.shared import Staging
+from starmart.llm.shared import Staging, row_of
 
 WINDOW = 5  # words
 MIN_WORDS = 10
@@ -72,9 +72,8 @@ def measured(docs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     """
     text = F.col("_text")
     without = lambda drop: F.length(text) - F.length(F.translate(text, drop, ""))
-    kept = docs.columns if columns is None else columns
     rows = docs.select(
-        F.struct(*[docs[c] for c in kept]).alias("_doc"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text")
+        row_of(docs, columns), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("_text")
     )
     rows = rows.select(
         "_doc",
@@ -249,7 +248,7 @@ def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: floa
     A document is kept if it passes the fixed rules and stays within the cutoffs of its
     stratum. Strata without enough labelled good documents, and all of them if there are no
     labels, get no cutoffs. Repeated rows stay, each with the same verdict; a NULL or
-    empty text fails for its number of words.
+    empty text fails for its number of words. An empty table gives no rows, and columns but those named here are not looked at.
     """
     return _verdict(*_calibrated(docs, labels, alpha, delta))
 

@@ -5,12 +5,14 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starmart.llm.shared import RUN, let, row_of, running_most, running_sums
+
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -20,6 +22,7 @@ ASSIGN_VALUE = 8  # characters of a value, at least
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"  # what the battery looks at
 FALSE_DISCOVERY = 0.1  # share of reported tokens that may be ordinary text
 BINS = 100  # of p-values
+PIECE = 4_096  # characters of a text that are redacted at a time
 CLASSES = (4, 7)  # least and largest length class; a class doubles the length
 
 # Letters from frequent to rare in European prose, so that cells of
@@ -44,23 +47,30 @@ def spans_of(text: Column, pattern: str, needs: Sequence[str] = ()) -> Column:
 
     ``needs`` holds texts of which every match has one; looking for them is much cheaper.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.filter(
-        F.zip_with(F.split(text, pattern, -1), found, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value"))),
-        lambda x: x["value"].isNotNull(),
-    )
-    kind = "array<struct<start:int,end:int,value:string>>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.length(x["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        ends = running_sums(F.zip_with(gaps, found, lambda gap, value: F.length(gap) + F.length(value)))
+        span = lambda v, e: F.struct((e - F.length(v)).alias("start"), e.alias("end"), v.alias("value"))
+        return F.zip_with(found, ends, span)
 
-    none = F.array().cast(kind)
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     likely = reduce(or_, [F.contains(text, F.lit(n)) for n in needs], F.lit(not needs))
-    return F.when(likely & text.rlike(pattern), F.aggregate(pairs, begin, add, lambda state: state["out"])).otherwise(none)
+    found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    return F.when(likely & text.rlike(pattern), found).otherwise(none)
+
+
+def _apart(tokens: Column, base: Column) -> Column:
+    """The tokens that overlap no span of ``base``. A block of tokens is held against the spans near it alone."""
+
+    def block(own: Column) -> Column:
+        low, high = F.get(own, F.lit(0))["start"], F.get(own, F.size(own) - 1)["end"]
+        near = F.filter(base, lambda b: (b["start"] < high) & (low < b["end"]))
+        return let(near, lambda bs: F.filter(own, lambda s: ~F.exists(bs, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(tokens) - 1) / RUN).cast("int"))
+    blocks = F.transform(numbers, lambda k: let(F.slice(tokens, k * RUN + 1, F.lit(RUN)), block))
+    return F.when((F.size(tokens) == 0) | (F.size(base) == 0), tokens).otherwise(F.flatten(blocks))
 
 
 def _of_kind(spans: Column, kind: str) -> Column:
@@ -80,14 +90,9 @@ def _named(spans: Column) -> Column:
 # --- randomness tests -------------------------------------------------------
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with ``value`` worked out once for all its uses."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _normal_upper(z: Column) -> Column:
     """P(Z > z) of the standard normal, to about 0.0002, by a logistic fit."""
-    return _let(z, lambda v: 1 / (1 + F.exp(F.greatest(F.least(1.5976 * v + 0.070566 * v * v * v, F.lit(700.0)), F.lit(-700.0)))))
+    return let(z, lambda v: 1 / (1 + F.exp(F.greatest(F.least(1.5976 * v + 0.070566 * v * v * v, F.lit(700.0)), F.lit(-700.0)))))
 
 
 def _chi2_upper(x: Column, df: Column) -> Column:
@@ -102,7 +107,7 @@ def _total(values: Column) -> Column:
 
 def _ratio(a: Column, b: Column) -> Column:
     """a / b; far beyond any critical value where b is zero, as in a token of one letter."""
-    return _let(b, lambda v: F.when(v > 0, a / v).otherwise(F.lit(40.0)))
+    return let(b, lambda v: F.when(v > 0, a / v).otherwise(F.lit(40.0)))
 
 
 def battery(token: Column) -> Column:
@@ -119,7 +124,7 @@ def battery(token: Column) -> Column:
     for pattern, alphabet in reversed(ALPHABETS.values()):
         letters = F.when(token.rlike(pattern), F.lit(alphabet)).otherwise(letters)
     plain = F.when(token.rlike(hexadecimal[0]), F.lower(token)).otherwise(F.translate(token, "-_", "+/"))
-    return _let(letters, lambda a: _let(_places(plain, a), lambda x: _battery(x, F.length(a).cast("double"))))
+    return let(letters, lambda a: let(_places(plain, a), lambda x: _battery(x, F.length(a).cast("double"))))
 
 
 def _places(plain: Column, alphabet: Column) -> Column:
@@ -128,7 +133,7 @@ def _places(plain: Column, alphabet: Column) -> Column:
 
 def _battery(x: Column, k: Column) -> Column:
     n = F.size(x).cast("double")
-    tests = _let(
+    tests = let(
         _total(x) / n,
         lambda mean: F.array(_uniformity(x, k, n), _runs(x, k, n), _correlation(x, n, mean)),
     )
@@ -147,7 +152,7 @@ def _uniformity(x: Column, k: Column, n: Column) -> Column:
         chi2 = _total(F.transform(F.sequence(F.lit(0), cells.cast("int") - 1), part))
         return _chi2_upper(chi2, cells - 1)
 
-    return _let(F.least(k, F.greatest(F.lit(2.0), F.floor(n / 5).cast("double"))), over)
+    return let(F.least(k, F.greatest(F.lit(2.0), F.floor(n / 5).cast("double"))), over)
 
 
 def _runs(x: Column, k: Column, n: Column) -> Column:
@@ -158,7 +163,7 @@ def _runs(x: Column, k: Column, n: Column) -> Column:
         mean = 2 * ones * (n - ones) / n + 1
         return 2 * _normal_upper(_ratio(F.abs(runs - mean), F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(0.0)))))
 
-    return _let(F.transform(x, lambda v: v * 2 >= k), over)
+    return let(F.transform(x, lambda v: v * 2 >= k), over)
 
 
 def _correlation(x: Column, n: Column, mean: Column) -> Column:
@@ -202,7 +207,7 @@ def scanned(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
     ``base`` holds the matches of the fixed patterns, ``spans`` also the tokens that the
     randomness tests find where no fixed pattern matches. Both are sorted; ``kind``
     is a place in ``KINDS``. Offsets count code points, ends are exclusive. A NULL text
-    counts as empty. Repeated rows stay, extra columns stay inside ``_doc``.
+    counts as empty. Repeated rows stay, extra columns stay inside ``_doc``; an empty table gives no rows.
 
     Texts are read twice: once for the p-values of the corpus's different tokens, once
     for the spans. The tests run inside a document's row, so the shuffle moves
@@ -211,7 +216,7 @@ def scanned(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
     tokens = docs.select(F.explode(F.regexp_extract_all(_text("text"), F.lit(TOKEN), F.lit(0))).alias("value"))
     least = least_p(tokens, rate)
 
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    rows = docs.select(row_of(docs))
     rows = rows.withColumn("_text", _text("_doc.text"))
     text = F.col("_text")
     long_enough = lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_VALUE
@@ -223,11 +228,11 @@ def scanned(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
     rows = rows.select("_doc", "_text", F.sort_array(base).alias("base"), spans_of(text, TOKEN).alias("_tokens"))
 
     def random(s: Column) -> Column:
-        apart = ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         limit = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
-        return apart & _let(battery(s["value"]), lambda t: t["p"] >= F.coalesce(F.element_at(limit, t["class"]), F.lit(2.0)))
+        return let(battery(s["value"]), lambda t: t["p"] >= F.coalesce(F.element_at(limit, t["class"]), F.lit(2.0)))
 
-    extra = _of_kind(F.filter("_tokens", random), "random") if least else _of_kind(F.slice("_tokens", 1, 0), "random")
+    tokens = F.filter(_apart(F.col("_tokens"), F.col("base")), random) if least else F.slice("_tokens", 1, 0)
+    extra = _of_kind(tokens, "random")
     return rows.select("_doc", "_text", "base", F.sort_array(F.concat("base", extra)).alias("spans"))
 
 
@@ -242,21 +247,47 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def _joined(spans: Column) -> Column:
+    """(start, end) of sorted spans, those that overlap made one."""
+
+    def groups(ss: Column, tops: Column) -> Column:
+        begins = lambda i: F.get(ss, i)["start"] >= F.coalesce(F.get(tops, i - 1), F.lit(0))
+        first = F.filter(F.sequence(F.lit(0), F.size(ss) - 1), begins)
+        end = lambda fs, j: F.get(tops, F.coalesce(F.get(fs, j + 1), F.size(ss)) - 1)
+        return let(first, lambda fs: F.transform(fs, lambda i, j: F.struct(F.get(ss, i)["start"].alias("start"), end(fs, j).alias("end"))))
+
+    return let(running_most(F.transform(spans, lambda s: s["end"])), lambda tops: groups(spans, tops))
+
+
+def _marked(text: Column, spans: Column, mark: str) -> Column:
+    """The text with ``mark`` in place of sorted spans that do not overlap.
+
+    It is worked in pieces of ``PIECE`` characters, because finding a place in a text takes as long as the text before it.
+    """
+
+    def piece(spans: Column, own: Column, k: Column) -> Column:
+        at = k * PIECE
+        here = F.filter(spans, lambda s: (s["start"] < at + PIECE) & (s["end"] > at))
+        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+        def add(state: Column, s: Column) -> Column:
+            gap = F.substring(own, state["at"] + 1, F.greatest(s["start"] - at, F.lit(0)) - state["at"])
+            new = F.when(s["start"] >= at, F.lit(mark)).otherwise(F.lit(""))
+            return F.struct((s["end"] - at).alias("at"), F.concat(state["out"], gap, new).alias("out"))
+
+        rest = lambda state: F.concat(state["out"], F.substring(own, state["at"] + 1, F.lit(PIECE)))
+        return F.aggregate(here, begin, add, rest)
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return let(spans, lambda ss: F.array_join(F.transform(pieces, lambda own, k: piece(ss, own, k)), ""))
+
+
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; a span that overlaps an earlier one joins it.
 
     ``n_chars`` follows the text if there is such a column. Rows without secrets are unchanged.
     """
-    text = F.col("_text")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        more = F.when(s["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), more.alias("out"))
-
-    rest = lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
-    clean = F.when(F.size("spans") > 0, F.aggregate("spans", begin, add, rest)).otherwise(F.col("_doc.text").cast("string"))
+    clean = F.when(F.size("spans") > 0, _marked(F.col("_text"), _joined(F.col("spans")), mark)).otherwise(F.col("_doc.text").cast("string"))
     rows = scanned(docs).select("_doc", clean.alias("_clean"))
     size = F.when(F.col("_doc.text").isNotNull(), F.length("_clean").cast("long"))
     new = {"text": F.col("_clean"), "n_chars": F.coalesce(size, F.col("_doc.n_chars") if "n_chars" in docs.columns else size)}

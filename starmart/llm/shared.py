@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,59 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))
 
 
+def named(column: str) -> Column:
+    """A column by its exact name, whatever characters that has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def row_of(docs: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """All columns of ``docs``, or some, as the struct ``_doc``, so that none of them meets a working column of the same name."""
+    return F.struct(*[named(c).alias(c) for c in (docs.columns if columns is None else columns)]).alias("_doc")
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` worked out once for all its uses."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+RUN = 300  # values that are added up one by one
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each place of an array of int the result of ``combine`` over all values so far, beginning with 0.
+
+    A step copies what was built before it, so long arrays are worked in blocks of ``RUN`` values, and the blocks' results
+    are combined likewise: some hundred copies for a value and not as many as there are values.
+    """
+
+    def short(xs: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def add(s: Column, x: Column) -> Column:
+            return let(combine(s["at"], x), lambda n: F.struct(n.alias("at"), F.concat(s["out"], F.array(n)).alias("out")))
+
+        return F.aggregate(xs, begin, add, lambda s: s["out"])
+
+    def long(xs: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / RUN).cast("int"))
+        blocks = F.transform(numbers, lambda b: short(F.slice(xs, b * RUN + 1, F.lit(RUN))))
+        last = lambda block: F.get(block, F.size(block) - 1)
+        before = lambda ends, b: F.coalesce(F.get(ends, b - 1), F.lit(0))
+        moved = lambda ends: lambda block, b: F.transform(block, lambda x: combine(before(ends, b), x))
+        return let(blocks, lambda bs: let(short(F.transform(bs, last)), lambda ends: F.flatten(F.transform(bs, moved(ends)))))
+
+    return let(values, lambda xs: F.when(F.size(xs) <= RUN, short(xs)).otherwise(long(xs)))
+
+
+def running_sums(values: Column) -> Column:
+    return running(values, lambda a, b: a + b)
+
+
+def running_most(values: Column) -> Column:
+    """The largest value so far, 0 at least."""
+    return running(values, lambda a, b: F.greatest(a, b))
+
+
 def stored(df: DataFrame, name: str, staging: Staging | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back from there."""
     return (staging or Staging(df.sparkSession)).keep(df, name)

@@ -190,18 +190,19 @@ def fingerprint_links(distinct: DataFrame, staging: Staging) -> DataFrame:
         sizes = staging.keep(made.groupBy("mask", "at").agg(F.count(F.lit(1)).alias("rows")), "sizes")
         mean = sizes.agg(F.avg("rows")).first()[0] or 0
         limit = max(LARGE_ROWS, LARGE * mean)
-        large = sizes.where((F.col("rows") > limit) & (F.col("mask") != -1)).select("mask", "at")
+        # Stored, as the splits below are, so that Spark knows their size when it chooses the joins.
+        large = staging.keep(sizes.where((F.col("rows") > limit) & (F.col("mask") != -1)).select("mask", "at"), "large")
         if large.isEmpty():
             return (made if done is None else done.unionByName(made)).groupBy("mask", "at").applyInPandas(
                 _links_of_group, "a long, b long"
             )
-        members = made.join(F.broadcast(large), ["mask", "at"], "left_semi")
+        members = made.join(large, ["mask", "at"], "left_semi")
         ones = F.array(*[F.avg(F.shiftrightunsigned("start", b).bitwiseAND(F.lit(1))) for b in range(BITS)])
         split = members.groupBy("mask", "at").agg(ones.alias("ones")).mapInPandas(_volatile, "mask long, at long, more long")
         split = staging.keep(split, "split")
-        rest = made.join(F.broadcast(large), ["mask", "at"], "left_anti")
+        rest = made.join(large, ["mask", "at"], "left_anti")
         done = rest if done is None else done.unionByName(rest)
-        rows = made.join(F.broadcast(split), ["mask", "at"]).select("mask", "start", "fp", "more")
+        rows = made.join(split, ["mask", "at"]).select("mask", "start", "fp", "more")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, staging: Staging | None = None) -> DataFrame:

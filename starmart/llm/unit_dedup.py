@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterable
 
-from starmart.llm.shared import Staging
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from starmart.llm.shared import Staging, let, row_of, running_most, running_sums
 
 MIN_WORDS = 8  # of a unit; shorter ones are never taken out
 SENTENCE = r"[^.!?\n]*[.!?]+|[^.!?\n]+|\n"  # together these cover every text
@@ -18,21 +21,17 @@ def normalised(unit: Column) -> Column:
 
 def _placed(pieces: Column, level: str, gap: int) -> Column:
     """Pieces of a text, one after the other with ``gap`` characters between, as (level, start, end, plain)."""
-    sizes = F.transform(pieces, lambda p: F.length(p) + gap)
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    ends = F.aggregate(
-        sizes,
-        begin,
-        lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"] + n)).alias("out")),
-        lambda s: s["out"],
-    )
-    return F.zip_with(
-        pieces,
-        ends,
-        lambda p, e: F.struct(
-            F.lit(level).alias("level"), (e - F.length(p) - gap).alias("start"), (e - gap).alias("end"), normalised(p).alias("plain")
-        ),
-    )
+
+    def place(ps: Column) -> Column:
+        return F.zip_with(
+            ps,
+            running_sums(F.transform(ps, lambda p: F.length(p) + gap)),
+            lambda p, e: F.struct(
+                F.lit(level).alias("level"), (e - F.length(p) - gap).alias("start"), (e - gap).alias("end"), normalised(p).alias("plain")
+            ),
+        )
+
+    return let(pieces, place)
 
 
 def units(docs: DataFrame) -> DataFrame:
@@ -74,28 +73,23 @@ def repeats(docs: DataFrame, staging: Staging | None = None) -> DataFrame:
 
 def _merged(spans: Column) -> Column:
     """(start, end) of spans (start, -end) in order, without those that lie in an earlier one."""
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-
-    def add(state: Column, s: Column) -> Column:
-        span = F.struct(s["start"].alias("start"), (-s["back"]).alias("end"))
-        more = F.when(-s["back"] > state["at"], F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], -s["back"]).alias("at"), more.alias("out"))
 
-    return F.aggregate(spans, begin, add, lambda state: state["out"])
+    def outer(ss: Column) -> Column:
+        ends = running_most(F.transform(ss, lambda s: -s["back"]))
+        first = lambda tops: lambda s, i: -s["back"] > F.coalesce(F.get(tops, i - 1), F.lit(0))
+        return let(ends, lambda tops: F.filter(ss, first(tops)))
 
+    return F.transform(let(spans, outer), lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end")))
 
-def _without(text: Column, spans: Column) -> Column:
-    """The text outside of sorted spans that do not overlap. A line goes with its line end."""
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def add(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(s["end"].alias("at"), F.concat(state["out"], F.array(gap)).alias("out"))
+@F.pandas_udf(T.StringType())
+def _without(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    """The texts outside of sorted spans that do not overlap. The end of a line that is taken out stays."""
 
-    def close(state: Column) -> Column:
-        return F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+    def left(t: str, a: Iterable[int], b: Iterable[int]) -> str:
+        return "".join(t[x:y] for x, y in zip([0, *b], [*a, len(t)]))
 
-    return F.aggregate(spans, begin, add, close)
+    return pd.Series([None if t is None else left(t, a, b) for t, a, b in zip(text, starts, ends)], dtype=object)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -106,19 +100,21 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     sentence within one, of ``MIN_WORDS`` words or more after normalisation; it is taken out if an
     earlier document, or an earlier place of the same one, has it. So the first copy of
     a passage stays whole. A NULL text stays NULL, rows that repeat both id and
-    text are one document and get the same result, other columns stay inside ``_doc``.
+    text are one document and get the same result, other columns stay inside ``_doc``. An empty table gives no rows.
     """
     spans = repeats(docs).groupBy("doc_id", "copy").agg(
         F.sort_array(F.collect_set(F.struct("start", (-F.col("end")).alias("back")))).alias("spans")
     )
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), _merged(F.col("spans")).alias("removed"))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    rows = docs.select(row_of(docs))
     rows = rows.withColumn("_text", F.col("_doc.text").cast("string"))
     here = F.col("_doc.doc_id").cast("long").eqNullSafe(F.col("_id")) & (
         F.xxhash64(F.coalesce("_text", F.lit(""))) == F.col("_copy")
     )
     none = F.array().cast("array<struct<start:int,end:int>>")
-    clean = F.when(F.col("removed").isNull(), F.col("_text")).otherwise(_without(F.col("_text"), F.col("removed")))
+    some = F.col("removed").isNotNull()  # only texts that change go to Python
+    cut = _without(F.when(some, F.col("_text")), F.col("removed.start"), F.col("removed.end"))
+    clean = F.when(some, cut).otherwise(F.col("_text"))
     return rows.join(spans, here, "left").select("_doc", F.coalesce("removed", none).alias("removed"), clean.alias("clean"))
 
 
