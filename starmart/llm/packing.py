@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import re
@@ -10,16 +11,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from starmart.llm.shared import Staging, returned, shipped, slices
+from starmart.llm.shared import Staging, returned
 
 LENGTH = 2048  # tokens of a sequence
 END = 0  # id that ends a document
 OPEN_BINS = 8_192  # sequences that a task keeps open at most
 TASK_PIECES = 20_000  # pieces that a packing task gets, about
-CHARS = 1_000_000  # of texts whose pieces are returned at a time
+CHARS = 1_000_000  # of texts whose pieces are returned together, about
 TOGETHER = 1_000  # words that the slower library encodes in one text
 GAP = 10_000  # white space in a row that tiktoken's split is not trusted with
 # Letters that all libraries have known for long, so that they agree what a letter is.
@@ -34,14 +36,13 @@ PLAIN = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "
 PLAIN_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "ignore_merges": False}
 
 
-def by_ranks(content: str):
-    """The same vocabulary as ranks of byte strings for tiktoken, or None where the two could differ.
+def by_ranks(content: str) -> dict[bytes, int] | None:
+    """The same vocabulary as ranks of byte strings, as tiktoken takes them, or None where the two could differ.
 
     They agree if merges make the ids after the bytes' own in rising order, if nothing else but the byte-level
     split is done, and if the merges make every token from its own bytes: then two neighbours that spell
     a token can only be the pair of its merge.
     """
-    import tiktoken
     from tokenizers import Tokenizer
 
     held = json.loads(content)
@@ -59,31 +60,41 @@ def by_ranks(content: str):
     by_merges = Tokenizer.from_str(content).model.tokenize
     if letters != sorted(of) or any([found.id for found in by_merges(t)] != [i] for t, i in vocabulary.items()):
         return None
-    ranks = {bytes(of[c] for c in token): i for token, i in vocabulary.items()}
-    return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return {bytes(of[c] for c in token): i for token, i in vocabulary.items()}
 
 
 class Vocabulary:
-    """A tokenizer file and what the libraries make of it, made once in each process that asks. Nothing else is kept between tasks."""
+    """A tokenizer file, looked through once by the driver, and the libraries' objects, made in a process when they are first needed.
+
+    Nothing else is kept between tasks, and the objects do not travel with the rest.
+    """
 
     def __init__(self, file: bytes):
-        self.file = file
+        from tokenizers import Tokenizer
+
+        self.file, content = file, file.decode("utf-8")
+        self.ranks = by_ranks(content)
+        self.added = [t.content for t in Tokenizer.from_str(content).get_added_tokens_decoder().values()]
 
     def __getstate__(self) -> dict:
-        return {"file": self.file}
+        return {name: self.__dict__[name] for name in ("file", "ranks", "added")}
 
-    def made(self) -> tuple:
-        """The tokenizer, its ranks by ``by_ranks``, and the texts that stand for added tokens."""
-        if "_made" not in self.__dict__:
-            import os
+    @functools.cached_property
+    def fast(self):
+        """tiktoken's encoder, or None if it could give other ids."""
+        import tiktoken
 
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
+        return self.ranks and tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=self.ranks, special_tokens={})
 
-            content = self.file.decode("utf-8")
-            tokenizer, ranks = Tokenizer.from_str(content), by_ranks(content)
-            self._made = tokenizer, ranks, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        return self._made
+    @functools.cached_property
+    def exact(self):
+        """The tokenizer as the file defines it."""
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.file.decode("utf-8"))
 
 
 # A space between two characters that are no white space begins a word, whatever stands elsewhere.
@@ -102,23 +113,24 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.tokenizer, self.ranks, self.added = vocabulary.made()
+        self.vocabulary = vocabulary
 
     def _slowly(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.vocabulary.exact.encode(text, add_special_tokens=False).ids, "<u4")
 
     def ids(self, text: str) -> np.ndarray:
         """What one call of the tokenizer on the text gives."""
-        if not self.ranks or any(a in text for a in self.added) or (len(text) >= GAP and _GAP.search(text)):
+        fast = self.vocabulary.fast
+        if not fast or any(a in text for a in self.vocabulary.added) or (len(text) >= GAP and _GAP.search(text)):
             return self._slowly(text)
         if text.isascii() or not _UNSETTLED.search(text):
-            return np.array(self.ranks.encode_ordinary(text), "<u4")
+            return np.array(fast.encode_ordinary(text), "<u4")
         out, before = [], ""
         for odd, run in itertools.groupby(_CUT.split(text), lambda w: bool(_UNSETTLED.search(w))):
             words = list(run)
             for k in range(0, len(words), TOGETHER if odd else len(words)):
                 part = before + " ".join(words[k : k + TOGETHER] if odd else words)
-                out.append(self._slowly(part) if odd else np.array(self.ranks.encode_ordinary(part), "<u4"))
+                out.append(self._slowly(part) if odd else np.array(fast.encode_ordinary(part), "<u4"))
                 before = " "
         return np.concatenate(out)
 
@@ -136,29 +148,47 @@ def pieces(docs: DataFrame, tokenizer: str, keep_ids: bool = True, length: int =
     A document's ids are those of its whole text, NULL counting as empty, and ``END``.
     ``tokenizer`` is the path of a file that the driver reads and sends to the tasks.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(shipped(docs.sparkSession, tokenizer).value))
+    with open(tokenizer, "rb") as file:
+        vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(file.read()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary.value)
-
-        def work(part: pd.DataFrame) -> pd.DataFrame:
-            rows = []
-            for doc_id, text in zip(part["doc_id"].astype("Int64"), part["text"]):
-                ids = np.append(encoder.ids(text or ""), np.uint32(END)).astype("<u4")
-                for k, (start, size) in enumerate(cut(len(ids), length)):
-                    own = ids[start : start + size]
-                    rows.append((doc_id, k, start, size, zlib.crc32(own.tobytes()), own.astype(np.int32) if keep_ids else None))
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            frame = pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-            return frame if keep_ids else frame.drop(columns="ids")
+    kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
 
+    def batch_of(doc_ids: list[int | None], found: list[np.ndarray]) -> pa.RecordBatch:
+        """The pieces of some documents. Texts come one by one, so no more of them is unpacked than is worked on."""
+        cuts = [cut(len(ids), length) for ids in found]
+        owner = np.repeat(np.arange(len(found)), [len(c) for c in cuts])
+        starts, sizes = (np.array([c[k] for own in cuts for c in own], np.int64) for k in (0, 1))
+        own = [found[k][a : a + n] for k, a, n in zip(owner, starts, sizes)]
+        columns = {
+            "doc_id": pa.array([doc_ids[k] for k in owner], pa.int64()),
+            "piece": pa.array(np.concatenate([np.arange(len(c), dtype=np.int32) for c in cuts])),
+            "start": pa.array(starts),
+            "length": pa.array(sizes),
+            "ids_crc32": pa.array([zlib.crc32(ids.tobytes()) for ids in own], pa.int64()),
+        }
+        if keep_ids:
+            edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            columns["ids"] = pa.ListArray.from_arrays(edges, np.concatenate(own).astype(np.int32))
+        return pa.RecordBatch.from_pydict(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary.value)
         for batch in batches:
-            yield from slices(work, "text", CHARS)(iter([batch]))
+            doc_ids, found, chars = [], [], 0
+            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = value.as_py() or ""
+                doc_ids.append(doc_id)
+                found.append(np.append(encoder.ids(text), np.uint32(END)).astype("<u4"))
+                chars += len(text)
+                if chars >= CHARS:
+                    yield batch_of(doc_ids, found)
+                    doc_ids, found, chars = [], [], 0
+            if found:
+                yield batch_of(doc_ids, found)
             returned()
 
-    kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(run, kind)
+    return rows.mapInArrow(run, kind)
 
 
 # --- bins -------------------------------------------------------------------

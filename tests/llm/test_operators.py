@@ -471,7 +471,7 @@ def test_odd_texts_encode_as_a_whole():
     tokenizer = Tokenizer.from_file(path)
     with open(path, "rb") as file:
         encoder = packing.Encoder(packing.Vocabulary(file.read()))
-    assert encoder.ranks and tokenizer.encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
+    assert encoder.vocabulary.fast and tokenizer.encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
     draw = random.Random(8)
     signs = ["a", "the", " ", " ", " ", "\n", "\t", "\xa0", "\x1c", "\u2003", "'s", "12", "!", "é", "漢", "語", "ђ", "ԥ", "🙂", "x́", "٣", "<|endoftext|>", "\x00", "가"]
     made = ["".join(draw.choices(signs, k=draw.randint(1, 40))) for _ in range(4000)]
@@ -483,8 +483,8 @@ def test_odd_texts_encode_as_a_whole():
 def test_a_vocabulary_goes_to_tasks_without_what_was_made_of_it():
     with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
         vocabulary = packing.Vocabulary(file.read())
-    packing.Encoder(vocabulary)
-    assert list(vocabulary.__getstate__()) == ["file"]
+    assert len(packing.Encoder(vocabulary).ids("a <|endoftext|> b")) == 4 and "exact" in vocabulary.__dict__
+    assert list(vocabulary.__getstate__()) == ["file", "ranks", "added"]
 
 
 # --- op9 --------------------------------------------------------------------
