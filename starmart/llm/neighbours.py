@@ -13,14 +13,16 @@ from starmart.llm.components import connected_components
 from starmart.llm.shared import Staging
 
 COSINE = 0.9
-NEIGHBOURS = 10  # length of a list; see near_duplicates() for lists that are full
+NEIGHBOURS = 10  # length of a list at first
+LONGEST = 40  # length up to which full lists are doubled
 TABLES = 4  # random orders that the first lists come from
 WINDOW = 256  # rows that are compared with each other there
 DESCENTS = 2  # refinements per round
-ROUNDS = 4  # at most, until the audit is content
+ROUNDS = 24  # until the audit is content; beyond that there is an error
 RECALL = 0.98  # that the audit asks for
 AUDITED = 1_000  # vectors in components, and as many others, that the audit compares with all
-BLOCK = 1_024  # vectors of a component that one task compares with as many others
+BLOCK = 4_096  # vectors of a component that one task compares with as many others
+TILE = 1_024  # of them that it compares at a time
 SLACK = 0.005  # below the threshold, for candidates in single precision
 
 EDGE = "id long, nbr long, sim float"
@@ -121,42 +123,70 @@ def first_lists(vectors: DataFrame, n: int, seed: int) -> DataFrame:
     return lists
 
 
-def shortened(edges: DataFrame) -> DataFrame:
-    """The ``NEIGHBOURS`` nearest of each vector, each once."""
+def lengthened(df: DataFrame, lengths: DataFrame | None) -> DataFrame:
+    """``df`` with ``most``, the length of each vector's list; ``lengths`` has (``id``, ``most``) of those that grew."""
+    if lengths is None:
+        return df.withColumn("most", F.lit(NEIGHBOURS))
+    return df.join(lengths, "id", "left").withColumn("most", F.coalesce("most", F.lit(NEIGHBOURS)))
+
+
+def shortened(edges: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    """The nearest of each vector, each once, as many as its list is long."""
     best = Window.partitionBy("id").orderBy(F.desc("sim"), "nbr")
     once = edges.groupBy("id", "nbr").agg(F.max("sim").alias("sim"))
-    return once.withColumn("k", F.row_number().over(best)).where(F.col("k") <= NEIGHBOURS).drop("k")
+    ranked = once.withColumn("k", F.row_number().over(best)).where(F.col("k") <= (NEIGHBOURS if lengths is None else LONGEST))
+    return lengthened(ranked, lengths).where("k <= most").select("id", "nbr", "sim")
 
 
-def _met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Compare all neighbours of a vector with each other. Rows come sorted by that vector."""
-    rest = None
-    for batch in batches:
-        batch = batch if rest is None else pd.concat([rest, batch])
-        runs = _runs(batch["hub"].to_numpy())
-        rest = batch.iloc[runs[-1]] if runs else None
-        yield _frame([_joined(batch.iloc[r]) for r in runs[:-1]])
-    if rest is not None and len(rest):
-        yield _frame([_joined(rest)])
+def full(lists: DataFrame, lengths: DataFrame | None) -> DataFrame:
+    """(``id``, ``most``) of the vectors whose whole list is near enough, so that others as near may not have had a place."""
+    near = lists.where(F.col("sim") >= COSINE - SLACK).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return lengthened(near, lengths).where("n >= most").select("id", "most")
 
 
-def _joined(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _best(group, 4)
+def doubled(lists: DataFrame, lengths: DataFrame | None, rooted: DataFrame) -> DataFrame:
+    """(``id``, ``most``) with twice the length, for full lists shorter than ``LONGEST`` in components that a list can hold."""
+    small = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= LONGEST)
+    small = rooted.join(small, "root", "left_semi").select(F.col("node").alias("id"))
+    grown = full(lists, lengths).where(F.col("most") < LONGEST).join(small, "id", "left_semi")
+    return grown.select("id", F.least(2 * F.col("most"), F.lit(LONGEST)).alias("most"))
 
 
-def descended(lists: DataFrame, vectors: DataFrame) -> DataFrame:
+def _met(most: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Compare all neighbours of a vector with each other; each keeps the ``most`` nearest. Rows come sorted by that vector."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch])
+            runs = _runs(batch["hub"].to_numpy())
+            rest = batch.iloc[runs[-1]] if runs else None
+            yield _frame([_best(batch.iloc[r], most) for r in runs[:-1]])
+        if rest is not None and len(rest):
+            yield _frame([_best(rest, most)])
+
+    return run
+
+
+def descended(lists: DataFrame, vectors: DataFrame, lengths: DataFrame | None = None, grown: DataFrame | None = None) -> DataFrame:
     """One refinement: neighbours of a vector, and those it is a neighbour of, may be neighbours of each other.
 
     Of those it is a neighbour of it takes the ``NEIGHBOURS`` nearest, so a vector that is
     near very many is no larger group than others; what that misses is left to the
-    audit and to ``completed``.
+    audit and to ``completed``. Lists keep the lengths that ``lengths`` gives. With ``grown`` only the
+    lists of those vectors are looked at, and offered all that their neighbours know.
     """
     back = shortened(lists.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "sim"))
     around = lists.select(F.col("id").alias("hub"), F.col("nbr").alias("id")).union(back.select("id", "nbr"))
     around = around.union(lists.select("id", "id")).distinct()
+    if grown is not None:
+        own = lists.join(grown, "id", "left_semi")
+        around = around.join(own.select(F.col("nbr").alias("hub")).union(own.select("id")).distinct(), "hub", "left_semi")
     found = around.join(vectors.select("id", "root", "short"), "id").select("hub", "id", "root", "short")
-    found = found.repartition("hub").sortWithinPartitions("hub", "id").mapInPandas(_met, EDGE)
-    return shortened(lists.unionByName(found))
+    found = found.repartition("hub").sortWithinPartitions("hub", "id").mapInPandas(_met(4 if grown is None else LONGEST), EDGE)
+    if grown is not None:
+        found = found.join(grown, "id", "left_semi")
+    return shortened(lists.unionByName(found), lengths)
 
 
 def within(vectors: DataFrame, rooted: DataFrame) -> DataFrame:
@@ -172,12 +202,6 @@ def apart(lists: DataFrame, vectors: DataFrame) -> DataFrame:
     return both.where("root <> other").select("id", "nbr", "sim")
 
 
-def any_full(lists: DataFrame) -> bool:
-    """Whether some vector's whole list is near enough, so that others as near may not have had a place."""
-    near = lists.where(F.col("sim") >= COSINE - SLACK).groupBy("id").count()
-    return not near.where(F.col("count") >= NEIGHBOURS).isEmpty()
-
-
 # --- links ------------------------------------------------------------------
 
 
@@ -196,31 +220,6 @@ def close_pairs(lists: DataFrame, vectors: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInPandas(_close, "a long, b long")
 
 
-def _bridges(group: pd.DataFrame) -> pd.DataFrame:
-    """The pairs of different roots that some link between two blocks joins, each once."""
-    mine, lo, hi = (group[c].to_numpy() for c in ("mine", "lo", "hi"))
-    x, root = _matrix(group["exact"], np.float64), group["root"].to_numpy()
-    left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
-    pairs = [np.zeros((0, 2), np.int64)]
-    for k in range(0, len(left), BLOCK):
-        rows = left[k : k + BLOCK]
-        a, b = np.nonzero((x[rows] @ x[right].T >= COSINE) & (root[rows][:, None] != root[right][None, :]))
-        pairs.append(np.unique(np.sort(np.stack([root[rows][a], root[right][b]], axis=1), axis=1), axis=0))
-    return pd.DataFrame(np.unique(np.concatenate(pairs), axis=0), columns=["a", "b"])
-
-
-def bridged(vectors: DataFrame, n: int) -> DataFrame:
-    """Pairs (``a`` < ``b``) of roots that some link joins, from an exact comparison of all vectors, block by block.
-
-    The work grows with the square of the table, so this is for what the lists have not found.
-    """
-    blocks = max(1, math.ceil(n / (4 * BLOCK)))
-    dealt = vectors.select("dim", "root", "exact", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("mine"))
-    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    paired = paired.select("dim", "root", "exact", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
-    return paired.groupBy("dim", "lo", "hi").applyInPandas(_bridges, "a long, b long").distinct()
-
-
 def _counted(group: pd.DataFrame) -> pd.DataFrame:
     """Links within components, or between two blocks of one; every vector counts the others, and their copies."""
     parts = []
@@ -230,14 +229,17 @@ def _counted(group: pd.DataFrame) -> pd.DataFrame:
         own = group.iloc[r]
         mine, lo, hi = (own[c].to_numpy() for c in ("mine", "lo", "hi"))
         x, copies, ids = _matrix(own["exact"], np.float64), own["copies"].to_numpy(), own["id"].to_numpy()
-        left, right = mine == lo, mine == hi
-        near = x[left] @ x[right].T >= COSINE
-        if lo[0] == hi[0]:
-            np.fill_diagonal(near, False)
-            parts.append((ids, near @ copies, near.sum(axis=1)))
-        else:
-            parts.append((ids[left], near @ copies[right], near.sum(axis=1)))
-            parts.append((ids[right], near.T @ copies[left], near.sum(axis=0)))
+        left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
+        links, others = np.zeros((2, len(ids)), np.int64)
+        for k in range(0, len(left), TILE):
+            rows = left[k : k + TILE]
+            near = (x[rows] @ x[right].T >= COSINE) & (rows[:, None] != right[None, :])
+            links[rows] += near @ copies[right]
+            others[rows] += near.sum(axis=1)
+            if lo[0] != hi[0]:
+                links[right] += near.T @ copies[rows]
+                others[right] += near.sum(axis=0)
+        parts.append((ids, links, others))
     return pd.DataFrame({name: np.concatenate(values) for name, values in zip(("id", "links", "others"), zip(*parts))})
 
 
@@ -246,9 +248,9 @@ def completed(rooted: DataFrame, vectors: DataFrame, staging: Staging) -> DataFr
 
     ``links`` counts the copies of the linked vectors, ``others`` the vectors, ``size`` those of the component.
 
-    Lists are enlarged to the whole component: components are cut into blocks of about ``BLOCK`` vectors, and
-    every two blocks of one are compared in a task, which returns a count for each of
-    their vectors and no pairs. Components smaller than a block share tasks.
+    Components are cut into blocks of about ``BLOCK`` vectors, and every two blocks of one are compared in a
+    task, ``TILE`` rows at a time, which returns a count for each of their vectors and no pairs. A vector is
+    copied once for each block of its component. Components smaller than a block share tasks.
     """
     sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -259,7 +261,7 @@ def completed(rooted: DataFrame, vectors: DataFrame, staging: Staging) -> DataFr
         "members",
     )
     total = members.count()
-    shared = F.pmod(F.xxhash64("root"), F.lit(max(1, total // BLOCK)))
+    shared = F.pmod(F.xxhash64("root"), F.lit(max(1, total // TILE)))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = members.select("*", other).select(
         "id", "root", "mine", "exact", "copies", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
@@ -321,6 +323,54 @@ def recall(found: DataFrame, vectors: DataFrame) -> float:
     return float((sums["share"] / sums["weight"]).min())
 
 
+def enlarged(
+    lists: DataFrame, placed: DataFrame, lengths: DataFrame | None, rooted: DataFrame, staging: Staging
+) -> tuple[DataFrame, DataFrame | None]:
+    """The lists and lengths after doubling those that are full (``doubled``), again and again until none is."""
+    while True:
+        grown = staging.keep(doubled(lists, lengths, rooted), "lengths")
+        if grown.isEmpty():
+            return lists, lengths
+        lengths = grown if lengths is None else staging.keep(lengths.join(grown, "id", "left_anti").unionByName(grown), "lengths")
+        lists = staging.keep(descended(lists, placed, lengths, grown), "lists")
+
+
+def searched(vectors: DataFrame, staging: Staging) -> DataFrame:
+    """``completed`` components of ``vectors``, from rounds of refined and enlarged lists until the audit is content."""
+
+    def refined(candidates: DataFrame) -> DataFrame:
+        lists = staging.keep(shortened(candidates, lengths), "lists")
+        for _ in range(DESCENTS):
+            lists = staging.keep(descended(lists, placed, lengths), "lists")
+        return lists
+
+    def joined(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+        more = staging.keep(close_pairs(lists, vectors), "pairs")
+        if rooted is not None and more.isEmpty():
+            return more, rooted
+        return more, staging.keep(connected_components(more if links is None else links.union(more), staging), "rooted")
+
+    n, lists, lengths, links, rooted, share = vectors.count(), None, None, None, None, 0.0
+    placed = vectors.withColumn("root", F.col("id"))
+    for k in range(ROUNDS):
+        new = first_lists(placed, n, k)
+        lists = refined(new if lists is None else lists.unionByName(new))
+        more, rooted = joined(lists)
+        before = lengths
+        lists, lengths = enlarged(lists, placed, lengths, rooted, staging)
+        if lengths is not before:
+            more, rooted = joined(lists)
+        links = more if links is None else links.union(more)
+        if more.isEmpty() or full(lists, lengths).isEmpty():
+            done = completed(rooted, vectors, staging)
+            share = recall(done, vectors)
+            if share >= RECALL:
+                return done
+        placed = staging.keep(within(vectors, rooted), "placed")
+        lists = apart(lists, placed)
+    raise RuntimeError(f"the neighbour lists still miss links after {ROUNDS} rounds (least share found by the last audit: {share:.3f})")
+
+
 def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFrame:
     """(``vec_id``, ``n_links``, ``component_id``, ``kept``), one row per row of ``table``.
 
@@ -331,15 +381,17 @@ def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFra
     that repeat a vec_id stay, each linked to the others if the vectors are equal; a
     row with NULL vec_id counts as a link of others, names no component and is not kept.
 
-    Lists of nearest neighbours begin in random orders and are refined by NN-descent. What is
-    near enough makes components, and within them links are counted exactly
-    (``completed``). An audit compares a bounded sample with all vectors; while vectors of some number
-    of links have less than ``RECALL`` of them (``recall``), there is another round, with new random orders.
-
-    A list in which every neighbour is near enough is full, and may lack others. The members of
-    its component need no place, so the next round's lists hold only neighbours of other
-    components; such rounds go on until one finds no more links. If ``ROUNDS`` end without that, or
-    with an audit that fails, all vectors are compared exactly (``bridged``).
+    Lists of nearest neighbours begin in random orders and are refined by NN-descent. What is near enough makes
+    components, and within them links are counted exactly (``completed``), so that no vector needs a list as long as its
+    links are many. A list in which every neighbour is near enough is full, and may lack others. In a component of
+    up to ``LONGEST`` vectors it is doubled and refined until it is not (``enlarged``). In a larger one its
+    own members need no place any more, so the next round's lists hold only neighbours of other components;
+    such rounds go on until one finds no more links.
+
+    An audit compares a bounded sample with all vectors; while vectors of some number of links have less than
+    ``RECALL`` of them (``recall``), there is another round, with new random orders. If ``ROUNDS`` end
+    without the audit being content, there is an error and no result.
+    An empty table gives no rows; further columns, of any name, are not read.
     """
     staging = staging or Staging(table.sparkSession)
     x = F.transform("embedding", lambda v: v.cast("double"))
@@ -350,28 +402,7 @@ def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFra
     vectors = staging.keep(
         merged.select("id", "x", "copies").mapInPandas(_unit, "exact binary, short binary, dim int, id long, copies long"), "vectors"
     )
-    n, lists, links, rooted, whole = vectors.count(), None, None, None, False
-    placed = vectors.withColumn("root", F.col("id"))
-    for k in range(ROUNDS):
-        new = first_lists(placed, n, k)
-        lists = staging.keep(shortened(new if lists is None else lists.unionByName(new)), "lists")
-        for _ in range(DESCENTS):
-            lists = staging.keep(descended(lists, placed), "lists")
-        more = staging.keep(close_pairs(lists, vectors), "pairs")
-        settled = more.isEmpty()
-        if rooted is None or not settled:
-            links = more if links is None else links.union(more)
-            rooted = staging.keep(connected_components(links, staging), "rooted")
-        if settled or not any_full(lists):
-            done = completed(rooted, vectors, staging)
-            whole = recall(done, vectors) >= RECALL
-        if whole:
-            break
-        placed = staging.keep(within(vectors, rooted), "placed")
-        lists = apart(lists, placed)
-    if not whole:
-        rooted = staging.keep(connected_components(links.union(bridged(placed, n)), staging), "rooted")
-        done = completed(rooted, vectors, staging)
+    done = searched(vectors, staging)
     named = merged.select("id", "least", "copies", "key", "x").join(done, "id", "left")
     own = F.coalesce("root", "id")
     named = named.withColumn("own", own)

@@ -564,9 +564,7 @@ def neighbour_rows(spark, x):
     return sorted(neighbours.near_duplicates(frame).collect())
 
 
-@pytest.mark.parametrize("rounds", [neighbours.ROUNDS, 1])
-def test_nested_tight_groups(spark, monkeypatch, rounds):
-    monkeypatch.setattr(neighbours, "ROUNDS", rounds)
+def test_nested_tight_groups(spark):
     x = nested_groups()
     links, roots = linked(x)
     assert min(links) > 40
@@ -574,6 +572,50 @@ def test_nested_tight_groups(spark, monkeypatch, rounds):
     assert [(r["n_links"], r["component_id"]) for r in out] == [(links[k], roots[k]) for k in range(len(x))]
 
 
+def test_rounds_that_do_not_suffice_give_no_result(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="still miss links"):
+        neighbour_rows(spark, nested_groups())
+
+
+def unit_vectors(spark, x):
+    rows = [(k, k, v.tobytes(), v.astype(np.float32).tobytes(), len(v), 1) for k, v in enumerate(x / np.sqrt((x * x).sum(axis=1))[:, None])]
+    return spark.createDataFrame(rows, "id long, root long, exact binary, short binary, dim int, copies long")
+
+
+def test_full_lists_are_doubled_and_others_are_not(spark, staging):
+    """Groups of 30 fill lists of 10 and of 20, not of 40; then each list holds the whole group."""
+    draw = np.random.default_rng(13)
+    groups = np.repeat(draw.normal(size=(8, 16)), 30, axis=0) + 0.02 * draw.normal(size=(240, 16))
+    placed = unit_vectors(spark, np.concatenate([groups, draw.normal(size=(200, 16))]))
+    rooted = spark.createDataFrame([(k, k - k % 30) for k in range(240)], "node long, root long")
+    start = staging.keep(neighbours.descended(neighbours.shortened(neighbours.first_lists(placed, 440, 0)), placed), "start")
+    lists, lengths = neighbours.enlarged(start, placed, None, rooted, staging)
+    grown = {r["id"]: r["most"] for r in lengths.collect()}
+    assert set(grown) <= set(range(240)) and list(grown.values()).count(neighbours.LONGEST) >= 0.9 * 240
+    near = collections.defaultdict(set)
+    for r in lists.where(lists.sim >= neighbours.COSINE).collect():
+        near[r["id"]].add(r["nbr"])
+    complete = sum(near[k] >= set(range(k - k % 30, k - k % 30 + 30)) - {k} for k in range(240))
+    assert complete >= 0.9 * 240
+    sizes = {r["id"]: r["count"] for r in lists.groupBy("id").count().collect()}
+    assert max(sizes[k] for k in range(240)) <= neighbours.LONGEST and max(sizes[k] for k in range(240, 440)) <= neighbours.NEIGHBOURS
+
+
+def test_links_of_a_component_over_many_blocks(spark, staging, monkeypatch):
+    """Counts do not depend on how a component is cut into blocks and tiles."""
+    draw = np.random.default_rng(14)
+    vectors = unit_vectors(spark, draw.normal(size=8) + 0.35 * draw.normal(size=(500, 8)))
+    x = np.stack([np.frombuffer(r["exact"]) for r in vectors.orderBy("id").collect()])
+    expected = ((x @ x.T >= 0.9).sum(axis=1) - 1).tolist()
+    rooted = spark.createDataFrame([(k, 0) for k in range(500)], "node long, root long")
+    for block, tile in ((4096, 1024), (100, 30)):
+        monkeypatch.setattr(neighbours, "BLOCK", block)
+        monkeypatch.setattr(neighbours, "TILE", tile)
+        out = neighbours.completed(rooted, vectors.drop("root"), staging).orderBy("id").collect()
+        assert [r["others"] for r in out] == [r["links"] for r in out] == expected
+
+
 def test_audit_sees_small_groups_beside_a_large_one(spark, staging):
     """All links of a large group found and none of many pairs is no good recall, nor is a copied vector's link more than another."""
     draw = np.random.default_rng(12)
