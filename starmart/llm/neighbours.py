@@ -14,7 +14,7 @@ from starmart.llm.shared import Staging
 
 COSINE = 0.9
 NEIGHBOURS = 10  # length of a list at first
-LONGEST = 40  # length up to which full lists are doubled
+LONGEST = 40  # length of a list that was full
 TABLES = 4  # random orders that the first lists come from
 WINDOW = 256  # rows that are compared with each other there
 DESCENTS = 2  # refinements per round
@@ -123,33 +123,30 @@ def first_lists(vectors: DataFrame, n: int, seed: int) -> DataFrame:
     return lists
 
 
-def lengthened(df: DataFrame, lengths: DataFrame | None) -> DataFrame:
-    """``df`` with ``most``, the length of each vector's list; ``lengths`` has (``id``, ``most``) of those that grew."""
-    if lengths is None:
-        return df.withColumn("most", F.lit(NEIGHBOURS))
-    return df.join(lengths, "id", "left").withColumn("most", F.coalesce("most", F.lit(NEIGHBOURS)))
-
-
-def shortened(edges: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
-    """The nearest of each vector, each once, as many as its list is long."""
+def shortened(edges: DataFrame, most: int = NEIGHBOURS, longer: DataFrame | None = None) -> DataFrame:
+    """The ``most`` nearest of each vector, each once; ``LONGEST`` for those whose ids are in ``longer``."""
     best = Window.partitionBy("id").orderBy(F.desc("sim"), "nbr")
     once = edges.groupBy("id", "nbr").agg(F.max("sim").alias("sim"))
-    ranked = once.withColumn("k", F.row_number().over(best)).where(F.col("k") <= (NEIGHBOURS if lengths is None else LONGEST))
-    return lengthened(ranked, lengths).where("k <= most").select("id", "nbr", "sim")
+    ranked = once.withColumn("k", F.row_number().over(best)).where(F.col("k") <= (most if longer is None else LONGEST))
+    if longer is not None:
+        ranked = ranked.join(longer.withColumn("long", F.lit(True)), "id", "left").where(F.col("long") | (F.col("k") <= most))
+    return ranked.select("id", "nbr", "sim")
 
 
-def full(lists: DataFrame, lengths: DataFrame | None) -> DataFrame:
-    """(``id``, ``most``) of the vectors whose whole list is near enough, so that others as near may not have had a place."""
+def full(lists: DataFrame, longer: DataFrame | None = None) -> DataFrame:
+    """Ids of the vectors whose whole list is near enough, so that others as near may not have had a place."""
     near = lists.where(F.col("sim") >= COSINE - SLACK).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return lengthened(near, lengths).where("n >= most").select("id", "most")
+    if longer is None:
+        return near.where(F.col("n") >= NEIGHBOURS).select("id")
+    both = near.join(longer.withColumn("long", F.lit(True)), "id", "left")
+    return both.where(F.col("n") >= F.when(F.col("long"), LONGEST).otherwise(NEIGHBOURS)).select("id")
 
 
-def doubled(lists: DataFrame, lengths: DataFrame | None, rooted: DataFrame) -> DataFrame:
-    """(``id``, ``most``) with twice the length, for full lists shorter than ``LONGEST`` in components that a list can hold."""
+def growing(lists: DataFrame, longer: DataFrame | None, rooted: DataFrame) -> DataFrame:
+    """Ids of the vectors with full lists of the first length, in components that a list of ``LONGEST`` can hold."""
     small = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= LONGEST)
-    small = rooted.join(small, "root", "left_semi").select(F.col("node").alias("id"))
-    grown = full(lists, lengths).where(F.col("most") < LONGEST).join(small, "id", "left_semi")
-    return grown.select("id", F.least(2 * F.col("most"), F.lit(LONGEST)).alias("most"))
+    ids = full(lists, longer).join(rooted.join(small, "root", "left_semi").select(F.col("node").alias("id")), "id", "left_semi")
+    return ids if longer is None else ids.join(longer, "id", "left_anti")
 
 
 def _met(most: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -168,25 +165,36 @@ def _met(most: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]
     return run
 
 
-def descended(lists: DataFrame, vectors: DataFrame, lengths: DataFrame | None = None, grown: DataFrame | None = None) -> DataFrame:
+def descended(lists: DataFrame, vectors: DataFrame, longer: DataFrame | None = None) -> DataFrame:
     """One refinement: neighbours of a vector, and those it is a neighbour of, may be neighbours of each other.
 
     Of those it is a neighbour of it takes the ``NEIGHBOURS`` nearest, so a vector that is
     near very many is no larger group than others; what that misses is left to the
-    audit and to ``completed``. Lists keep the lengths that ``lengths`` gives. With ``grown`` only the
-    lists of those vectors are looked at, and offered all that their neighbours know.
+    audit and to ``completed``.
     """
+    found = _introduced(_around(lists), vectors, 4)
+    return shortened(lists.unionByName(found), longer=longer)
+
+
+def enlarged(lists: DataFrame, vectors: DataFrame, grown: DataFrame) -> DataFrame:
+    """The lists of the vectors ``grown``, with ``LONGEST`` places and all that their neighbours know."""
+    own = lists.join(grown, "id", "left_semi")
+    hubs = own.select(F.col("nbr").alias("hub")).union(own.select("id")).distinct()
+    found = _introduced(_around(lists).join(hubs, "hub", "left_semi"), vectors, LONGEST)
+    return shortened(own.unionByName(found.join(grown, "id", "left_semi")), LONGEST)
+
+
+def _around(lists: DataFrame) -> DataFrame:
+    """(``hub``, ``id``): each vector with its neighbours, the nearest that have it as a neighbour, and itself."""
     back = shortened(lists.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "sim"))
     around = lists.select(F.col("id").alias("hub"), F.col("nbr").alias("id")).union(back.select("id", "nbr"))
-    around = around.union(lists.select("id", "id")).distinct()
-    if grown is not None:
-        own = lists.join(grown, "id", "left_semi")
-        around = around.join(own.select(F.col("nbr").alias("hub")).union(own.select("id")).distinct(), "hub", "left_semi")
+    return around.union(lists.select("id", "id")).distinct()
+
+
+def _introduced(around: DataFrame, vectors: DataFrame, most: int) -> DataFrame:
+    """For all around a hub the ``most`` nearest of the others there."""
     found = around.join(vectors.select("id", "root", "short"), "id").select("hub", "id", "root", "short")
-    found = found.repartition("hub").sortWithinPartitions("hub", "id").mapInPandas(_met(4 if grown is None else LONGEST), EDGE)
-    if grown is not None:
-        found = found.join(grown, "id", "left_semi")
-    return shortened(lists.unionByName(found), lengths)
+    return found.repartition("hub").sortWithinPartitions("hub", "id").mapInPandas(_met(most), EDGE)
 
 
 def within(vectors: DataFrame, rooted: DataFrame) -> DataFrame:
@@ -323,50 +331,36 @@ def recall(found: DataFrame, vectors: DataFrame) -> float:
     return float((sums["share"] / sums["weight"]).min())
 
 
-def enlarged(
-    lists: DataFrame, placed: DataFrame, lengths: DataFrame | None, rooted: DataFrame, staging: Staging
-) -> tuple[DataFrame, DataFrame | None]:
-    """The lists and lengths after doubling those that are full (``doubled``), again and again until none is."""
-    while True:
-        grown = staging.keep(doubled(lists, lengths, rooted), "lengths")
-        if grown.isEmpty():
-            return lists, lengths
-        lengths = grown if lengths is None else staging.keep(lengths.join(grown, "id", "left_anti").unionByName(grown), "lengths")
-        lists = staging.keep(descended(lists, placed, lengths, grown), "lists")
-
-
 def searched(vectors: DataFrame, staging: Staging) -> DataFrame:
     """``completed`` components of ``vectors``, from rounds of refined and enlarged lists until the audit is content."""
-
-    def refined(candidates: DataFrame) -> DataFrame:
-        lists = staging.keep(shortened(candidates, lengths), "lists")
-        for _ in range(DESCENTS):
-            lists = staging.keep(descended(lists, placed, lengths), "lists")
-        return lists
-
-    def joined(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-        more = staging.keep(close_pairs(lists, vectors), "pairs")
-        if rooted is not None and more.isEmpty():
-            return more, rooted
-        return more, staging.keep(connected_components(more if links is None else links.union(more), staging), "rooted")
-
-    n, lists, lengths, links, rooted, share = vectors.count(), None, None, None, None, 0.0
+    n, lists, longer, links, rooted, share = vectors.count(), None, None, None, None, 0.0
     placed = vectors.withColumn("root", F.col("id"))
     for k in range(ROUNDS):
         new = first_lists(placed, n, k)
-        lists = refined(new if lists is None else lists.unionByName(new))
-        more, rooted = joined(lists)
-        before = lengths
-        lists, lengths = enlarged(lists, placed, lengths, rooted, staging)
-        if lengths is not before:
-            more, rooted = joined(lists)
-        links = more if links is None else links.union(more)
-        if more.isEmpty() or full(lists, lengths).isEmpty():
+        lists = staging.keep(shortened(new if lists is None else lists.unionByName(new), longer=longer), "lists")
+        for _ in range(DESCENTS):
+            lists = staging.keep(descended(lists, placed, longer), "lists")
+        more = staging.keep(close_pairs(lists, vectors), "pairs")
+        settled = more.isEmpty()
+        if rooted is None or not settled:
+            links = more if links is None else links.union(more)
+            rooted = staging.keep(connected_components(links, staging), "rooted")
+        grown = staging.keep(growing(lists, longer, rooted), "grown")
+        placed = staging.keep(within(vectors, rooted), "placed")
+        if not grown.isEmpty():
+            known = staging.keep(enlarged(lists, vectors.withColumn("root", F.col("id")), grown), "lists")
+            lists = lists.join(grown, "id", "left_anti").unionByName(known)
+            longer = grown if longer is None else longer.union(grown)
+            more = staging.keep(close_pairs(apart(known, placed), vectors), "pairs")
+            if not more.isEmpty():
+                links, settled = links.union(more), False
+                rooted = staging.keep(connected_components(links, staging), "rooted")
+                placed = staging.keep(within(vectors, rooted), "placed")
+        if settled or full(lists, longer).isEmpty():
             done = completed(rooted, vectors, staging)
             share = recall(done, vectors)
             if share >= RECALL:
                 return done
-        placed = staging.keep(within(vectors, rooted), "placed")
         lists = apart(lists, placed)
     raise RuntimeError(f"the neighbour lists still miss links after {ROUNDS} rounds (least share found by the last audit: {share:.3f})")
 
@@ -384,7 +378,7 @@ def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFra
     Lists of nearest neighbours begin in random orders and are refined by NN-descent. What is near enough makes
     components, and within them links are counted exactly (``completed``), so that no vector needs a list as long as its
     links are many. A list in which every neighbour is near enough is full, and may lack others. In a component of
-    up to ``LONGEST`` vectors it is doubled and refined until it is not (``enlarged``). In a larger one its
+    up to ``LONGEST`` vectors it gets ``LONGEST`` places, which it cannot fill from there (``enlarged``). In a larger one its
     own members need no place any more, so the next round's lists hold only neighbours of other components;
     such rounds go on until one finds no more links.
 

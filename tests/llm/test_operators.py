@@ -583,23 +583,26 @@ def unit_vectors(spark, x):
     return spark.createDataFrame(rows, "id long, root long, exact binary, short binary, dim int, copies long")
 
 
-def test_full_lists_are_doubled_and_others_are_not(spark, staging):
-    """Groups of 30 fill lists of 10 and of 20, not of 40; then each list holds the whole group."""
+def test_full_lists_are_enlarged(spark, staging):
+    """Groups of 30 fill lists of 10, not of 40; then lists hold nearly the whole group, and not a third of it."""
     draw = np.random.default_rng(13)
     groups = np.repeat(draw.normal(size=(8, 16)), 30, axis=0) + 0.02 * draw.normal(size=(240, 16))
     placed = unit_vectors(spark, np.concatenate([groups, draw.normal(size=(200, 16))]))
     rooted = spark.createDataFrame([(k, k - k % 30) for k in range(240)], "node long, root long")
-    start = staging.keep(neighbours.descended(neighbours.shortened(neighbours.first_lists(placed, 440, 0)), placed), "start")
-    lists, lengths = neighbours.enlarged(start, placed, None, rooted, staging)
-    grown = {r["id"]: r["most"] for r in lengths.collect()}
-    assert set(grown) <= set(range(240)) and list(grown.values()).count(neighbours.LONGEST) >= 0.9 * 240
+    lists = staging.keep(neighbours.shortened(neighbours.first_lists(placed, 440, 0)), "start")
+    for _ in range(neighbours.DESCENTS):
+        lists = staging.keep(neighbours.descended(lists, placed), "lists")
+    grown = staging.keep(neighbours.growing(lists, None, rooted), "grown")
+    ids = {r["id"] for r in grown.collect()}
+    assert ids <= set(range(240)) and len(ids) >= 0.9 * 240
     near = collections.defaultdict(set)
-    for r in lists.where(lists.sim >= neighbours.COSINE).collect():
+    for r in neighbours.enlarged(lists, placed, grown).collect():
         near[r["id"]].add(r["nbr"])
-    complete = sum(near[k] >= set(range(k - k % 30, k - k % 30 + 30)) - {k} for k in range(240))
-    assert complete >= 0.9 * 240
-    sizes = {r["id"]: r["count"] for r in lists.groupBy("id").count().collect()}
-    assert max(sizes[k] for k in range(240)) <= neighbours.LONGEST and max(sizes[k] for k in range(240, 440)) <= neighbours.NEIGHBOURS
+    assert set(near) == ids and max(map(len, near.values())) <= neighbours.LONGEST
+    held = [len(near[k] & set(range(k - k % 30, k - k % 30 + 30))) / 29 for k in ids]
+    assert sum(held) / len(held) >= 0.9
+    large = rooted.withColumn("root", rooted.root * 0)
+    assert neighbours.growing(lists, None, large).isEmpty() and neighbours.growing(lists, grown, rooted).isEmpty()
 
 
 def test_links_of_a_component_over_many_blocks(spark, staging, monkeypatch):
