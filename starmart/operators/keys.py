@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starmart.sources.staging import Staging
 
@@ -116,6 +116,9 @@ def lookup(
     number in the join key where others carry the key's hash, so the shuffle
     spreads them evenly. The number is the stored ``SPREAD`` column of ``left``, or
     else the source partition's number: both are the same on every attempt.
+
+    One whole-number key stands for itself instead of its hash. So a ``right`` that is stored in buckets
+    of the key stays where it is.
     """
 
     def renamed(df: DataFrame, mark: str, extra: Column) -> DataFrame:
@@ -134,11 +137,16 @@ def lookup(
         settled = settled | F.col("_few").isNotNull()
 
     scatter = F.col(SPREAD) if SPREAD in left.columns else F.spark_partition_id()
-    route = F.when(settled, scatter.cast("long")).otherwise(F.xxhash64(*on))
-    table = renamed(right, "_all_", F.xxhash64(*on).alias("_all"))
-    found = rows.withColumn("_route", route).join(
-        table, (F.col("_route") == F.col("_all")) & same_key("_all_"), "left"
-    )
+    kind = right.schema[on[0]].dataType
+    if len(on) == 1 and not null_safe and kind == left.schema[on[0]].dataType and isinstance(kind, (T.IntegerType, T.LongType)):
+        # a settled row may meet the key that its number happens to be, so it is kept from matching
+        number = F.pmod(scatter.cast("long"), F.lit(2**31 - 1)).cast(kind)
+        route, extra = F.when(settled, number).otherwise(F.col(on[0])), F.lit(None).alias("_all")
+        matches = (F.col("_route") == F.col("_all_" + on[0])) & ~settled
+    else:
+        route, extra = F.when(settled, scatter.cast("long")).otherwise(F.xxhash64(*on)), F.xxhash64(*on).alias("_all")
+        matches = (F.col("_route") == F.col("_all")) & same_key("_all_")
+    found = rows.withColumn("_route", route).join(renamed(right, "_all_", extra), matches, "left")
     if frequent is None:
         taken = [F.col("_all_" + c).alias(c) for c in take]
     else:

@@ -307,5 +307,6 @@ ORACLES: dict[str, str] = {
     ),
 }
 
-# Another plan for the same rows.
+# Other plans for the same rows.
 ORACLES["enriched_sales_large_dims"] = ORACLES["enriched_sales"]
+ORACLES["enriched_sales_clustered_dims"] = ORACLES["enriched_sales"]

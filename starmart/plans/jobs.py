@@ -175,6 +175,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--same-header", action="store_true", help="all sales files have one header (star)")
     parser.add_argument("--single-line", action="store_true", help="no line ends inside cells (star)")
     parser.add_argument("--rejects", help="folder for values that could not be typed (star)")
+    parser.add_argument("--buckets", type=int, default=0, help="buckets of dimensions in a target folder (star, all); none if left out")
     chosen = parser.parse_args(arguments)
 
     builder = SparkSession.builder.appName(f"starmart-{chosen.job}")
@@ -183,7 +184,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = builder.getOrCreate()
     try:
         if chosen.job != "marts":
-            target = VersionedStore(spark, chosen.target) if chosen.target else star_database(spark)
+            target = VersionedStore(spark, chosen.target, buckets=chosen.buckets) if chosen.target else star_database(spark)
             losses = VersionedStore(spark, chosen.rejects) if chosen.rejects else None
             written = run_star_job(
                 spark,

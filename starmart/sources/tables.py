@@ -14,7 +14,8 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from starmart.contracts import TABLE_KEYS, project_to
+from starmart.contracts import DIMENSION_KEYS, TABLE_KEYS, project_to
+from starmart.sources.clustered import read_clustered, write_clustered
 
 R = TypeVar("R")
 
@@ -33,12 +34,22 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 @dataclass(frozen=True)
 class ParquetStore:
-    """One folder per table below ``root``."""
+    """One folder per table below ``root``.
+
+    With ``buckets`` dimensions are stored in so many buckets of their key, and joins by it need not shuffle them. That
+    takes effect if there are no fewer than ``spark.sql.shuffle.partitions``, and enough that a bucket fits a task.
+    """
 
     spark: SparkSession
     root: str
+    buckets: int = 0
+
+    def clustered(self, table: str) -> bool:
+        return self.buckets > 0 and table in DIMENSION_KEYS
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        if self.clustered(table):
+            return read_clustered(self.spark, f"{self.root}/{table}", DIMENSION_KEYS[table], self.buckets, schema)
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(f"{self.root}/{table}")
 
@@ -50,6 +61,10 @@ class ParquetStore:
         without a shuffle of the whole table.
         """
         pinned = project_to(df, schema)
+        if self.clustered(table):
+            counted, rows = _observed(pinned)
+            write_clustered(counted, f"{self.root}/{table}", DIMENSION_KEYS[table], self.buckets, refresh)
+            return rows.get["rows"]
         keys = [k for k in TABLE_KEYS.get(table, ()) if k in schema.names]
         counted, rows = _observed(pinned.sortWithinPartitions(*keys) if keys else pinned)
         counted.write.mode("overwrite" if refresh else "append").parquet(f"{self.root}/{table}")

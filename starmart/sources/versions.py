@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starmart.contracts import DIMENSION_KEYS
+from starmart.sources.clustered import read_clustered
 from starmart.sources.tables import ParquetStore
 
 KEPT = 3  # versions that stay readable
@@ -33,12 +35,16 @@ class Snapshot:
     root: str
     number: int = 0
     tables: Mapping[str, Sequence[str]] = field(default_factory=dict)  # folders below the root
+    buckets: Mapping[str, int] = field(default_factory=dict)  # of tables that are stored in buckets of their key
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         if table not in self.tables:
             raise FileNotFoundError(f"version {self.number} of {self.root} has no table {table}")
+        folders = [f"{self.root}/{folder}" for folder in self.tables[table]]
+        if table in self.buckets and len(folders) == 1:
+            return read_clustered(self.spark, folders[0], DIMENSION_KEYS[table], self.buckets[table], schema)
         reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(*[f"{self.root}/{folder}" for folder in self.tables[table]])
+        return reader.parquet(*folders)
 
     def count(self, table: str) -> DataFrame:
         return self.read(table).agg(F.count(F.lit(1)).alias("row_count"))
@@ -49,12 +55,14 @@ class VersionedStore:
     """Tables of which readers see the newest complete version.
 
     ``read`` and ``count`` look the version up each time; who needs several tables of one version takes a ``snapshot``. The
-    ``kept`` newest versions stay, so a reader may lag behind by as many loads.
+    ``kept`` newest versions stay, so a reader may lag behind by as many loads. ``buckets`` is for the loads made
+    from here, see ``ParquetStore``; a version says of each table how it is stored.
     """
 
     spark: SparkSession
     root: str
     kept: int = KEPT
+    buckets: int = 0
 
     # --- files ---
 
@@ -78,7 +86,8 @@ class VersionedStore:
         finally:
             stream.close()
         try:
-            return Snapshot(self.spark, self.root, number, json.loads(text)["tables"])
+            held = json.loads(text)
+            return Snapshot(self.spark, self.root, number, held["tables"], held.get("buckets", {}))
         except (ValueError, KeyError, TypeError):
             return None
 
@@ -105,7 +114,7 @@ class VersionedStore:
 
     def draft(self) -> ParquetStore:
         """A new folder for the tables of a load, which no reader sees before ``publish``."""
-        return ParquetStore(self.spark, f"{self.root}/loads/{uuid.uuid4().hex}")
+        return ParquetStore(self.spark, f"{self.root}/loads/{uuid.uuid4().hex}", self.buckets)
 
     def discard(self, draft: ParquetStore) -> None:
         """Delete the folder of a load that will not be published."""
@@ -130,11 +139,13 @@ class VersionedStore:
                 raise Conflict(f"not published, changed since version {made_from.number}: {', '.join(changed)}")
             new = {t: [*(latest.tables.get(t, ()) if add else ()), f"{folder}/{t}"] for t in tables}
             number = max([0, *self._numbers()]) + 1
-            if self._name(number, {**latest.tables, **new}):
+            buckets = {t: n for t, n in latest.buckets.items() if t not in tables}
+            buckets |= {t: draft.buckets for t in tables if draft.clustered(t)}
+            if self._name(number, {**latest.tables, **new}, buckets):
                 self._forget()
-                return Snapshot(self.spark, self.root, number, {**latest.tables, **new})
+                return Snapshot(self.spark, self.root, number, {**latest.tables, **new}, buckets)
 
-    def _name(self, number: int, tables: Mapping[str, Sequence[str]]) -> bool:
+    def _name(self, number: int, tables: Mapping[str, Sequence[str]], buckets: Mapping[str, int]) -> bool:
         """Write the file of a version, or nothing if another load has taken the number."""
         place, files = self._place(f"versions/{number:012}.json"), self._files()
         if files.exists(place):
@@ -146,7 +157,7 @@ class VersionedStore:
                 return False
             raise
         try:
-            stream.write(bytearray(json.dumps({"tables": tables}), "utf-8"))
+            stream.write(bytearray(json.dumps({"tables": tables, "buckets": buckets}), "utf-8"))
         finally:
             stream.close()
         return True

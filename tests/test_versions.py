@@ -86,11 +86,11 @@ def test_two_loads_at_once(spark, tmp_path, monkeypatch):
     store, other = VersionedStore(spark, str(tmp_path)), VersionedStore(spark, str(tmp_path))
     name, raced = VersionedStore._name, []
 
-    def late(self, number, tables):
+    def late(self, number, *content):
         if not raced:
             raced.append(number)
             _load(spark, other, b=7)
-        return name(self, number, tables)
+        return name(self, number, *content)
 
     monkeypatch.setattr(VersionedStore, "_name", late)
     assert _load(spark, store, a=3).number == 2
