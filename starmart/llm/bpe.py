@@ -172,7 +172,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, finish=None, kind: str = "
 
     A NULL or empty text has no ids. Repeated rows and rows without an id stay. A hot word
     is one entry per block. Blocks are bounded in size (one longer text is a
-    block alone), and so are buckets, whose number follows the number of rows.
+    block alone), and so are buckets, whose number follows the number of rows. An empty table gives no
+    rows. Columns other than id and text are not looked at.
     """
     spark, staging = docs.sparkSession, Staging(docs.sparkSession)
     vocabulary = shipped(spark, path)

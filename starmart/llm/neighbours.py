@@ -329,7 +329,7 @@ def near_duplicates(table: DataFrame, staging: Staging | None = None) -> DataFra
     nothing; vectors of different lengths are not compared. Links have a cosine of
     ``COSINE`` or more in double precision. ``component_id`` is the smallest vec_id that links reach. Rows
     that repeat a vec_id stay, each linked to the others if the vectors are equal; a
-    row with NULL vec_id counts as a link of others, names no component and is not kept.
+    row with NULL vec_id counts as a link of others, names no component and is not kept. An empty table gives no rows.
 
     Lists of nearest neighbours begin in random orders and are refined by NN-descent. What is
     near enough makes components, and within them links are counted exactly

@@ -234,7 +234,7 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The document with the smallest id of each component, with all its columns.
 
     Rows with the same id are one document, of which one row stays. Rows without
-    an id all stay: nothing tells which of them is which.
+    an id all stay: nothing tells which of them is which. Texts without a word, NULL too, are alike. An empty table gives no rows.
     """
     found = near_duplicates(docs, shingle)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()

@@ -131,7 +131,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """``docs`` with what is left of ``text``; ``n_chars`` follows if there is such a column. All rows stay."""
+    """``docs`` with what is left of ``text``; ``n_chars`` follows if there is such a column. All rows stay.
+
+    A NULL text stays NULL. An empty table gives no rows.
+    """
     size = F.when(F.size("removed") > 0, F.length("clean").cast("long"))
     new = {"text": F.col("clean")}
     if "n_chars" in docs.columns:

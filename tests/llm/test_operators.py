@@ -616,6 +616,30 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
 
 
+def test_stages_without_rows_or_texts(spark, tmp_path):
+    """Empty tables give empty tables with the same columns; NULL texts fail the rules and pass the other stages."""
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([], kind)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0, name
+        assert name == "packing" or out.dtypes == docs.dtypes, name
+    blank = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", None, 0), (2, "", "en", None, 0), (None, None, None, None, None)], kind)
+    stages = dict(corpus_pipeline.STAGES)
+    assert stages["quality rules"](spark, blank, str(tmp_path)).count() == 0
+    single = stages["near duplicates"](spark, blank, str(tmp_path)).collect()
+    assert sorted(str(r["doc_id"]) for r in single) == ["1", "None"]
+    for name in ("repeated passages", "secrets"):
+        assert rows_as_text(stages[name](spark, blank, str(tmp_path))) == rows_as_text(blank), name
+    packed = stages["packing"](spark, blank, str(tmp_path)).collect()
+    assert [(r["length"], r["ids"]) for r in packed] == [(1, [0])] * 4
+
+
+def rows_as_text(df):
+    return sorted(str(r) for r in df.collect())
+
+
 def test_pipeline_ends_with_tokens(spark):
     rows = [(1, prose(1, 3000)), (2, "a few words"), (3, None)]
     out = corpus_pipeline.packing_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
