@@ -26,6 +26,7 @@ from starmart.llm import (
     quality_rules,
     queries,
     secret_scan,
+    shared,
     simhash,
     unit_dedup,
 )
@@ -125,6 +126,42 @@ def test_ranker_on_held_out_rows(spark):
     assert both.agg(F.avg((F.col("predicted") == F.col("quality")).cast("double"))).first()[0] > 0.95
 
 
+def test_op1_learns_from_all_labelled_rows(spark):
+    ids = spark.range(26_000).withColumnRenamed("id", "doc_id")
+    kept = ids.where(shared.fold(F.col("doc_id"), quality_ranker.FOLDS) != 0)
+    last = [r[0] for r in kept.orderBy(F.xxhash64("doc_id").desc()).limit(kept.count() - 20_000).collect()]
+    bad = F.col("doc_id").isin(last)
+    docs = ids.select("doc_id", F.when(bad, F.lit("## ## $$ 11")).otherwise(F.lit("a quiet line of words")).alias("text"))
+    labels = kept.select("doc_id", F.when(bad, 0).otherwise(1).alias("quality"))
+    out = quality_ranker.ranked(docs, labels).where(shared.fold(F.col("doc_id"), quality_ranker.FOLDS) != 0)
+    found = {(r["bad"], r["predicted"]): r["count"] for r in out.groupBy(bad.alias("bad"), "predicted").count().collect()}
+    assert found == {(True, 0): len(last), (False, 1): 20_000}
+
+
+def test_op1_deals_out_every_row_and_compares_all_of_a_block(spark, staging, monkeypatch):
+    size = len(quality_ranker.FEATURES)
+    draw = np.random.default_rng(1)
+    x, good = draw.normal(size=(40, size)), [i >= 3 for i in range(40)]
+    rows = [(i % 30, [float(v) for v in x[i]], g) for i, g in enumerate(good)]  # ids come twice
+    labelled = spark.createDataFrame(rows, "doc_id long, x array<double>, good boolean")
+    (block,) = quality_ranker.blocks(labelled, 3, 37, staging).collect()
+    assert (len(block["up"]), len(block["down"])) == (37, 3)
+    model = quality_ranker.fitted(labelled, staging)
+    w, spread = model["weights"], x.std(axis=0)
+    pairs, gradient = 3 * 37, np.zeros(size)
+    for a in x[3:]:
+        for b in x[:3]:
+            d = (a - b) / spread
+            gradient += d / (1 + np.exp((a - b) @ w))
+    assert np.allclose(gradient / pairs, w * spread / (20 * 37), atol=1e-6)
+    assert abs(model["quantile"] - np.quantile(x @ w, 3 / 40)) < 1e-9
+    monkeypatch.setattr(quality_ranker, "BLOCK", 4)
+    many = quality_ranker.blocks(labelled, 3, 37, staging).collect()
+    assert len(many) == 10 and all(1 <= len(b["up"]) <= 4 and len(b["down"]) == 1 for b in many)
+    assert sorted(v for b in many for v in b["up"]) == sorted(x[3:].tolist())
+    assert {tuple(v) for b in many for v in b["down"]} == {tuple(v) for v in x[:3].tolist()}
+
+
 # --- op2 --------------------------------------------------------------------
 
 
