@@ -27,7 +27,7 @@ from starmart.plans.marts import MART_DIMENSIONS, mart_of, store_marts
 from starmart.plans.star import DIMENSIONS, STAR_TABLES, Star, stage_records, stored_dims
 from starmart.plans.wide import table, wide_sales
 from starmart.sources.sales_csv import SOURCE_ID, load_sales, malformed_rows
-from starmart.sources.staging import Staging
+from starmart.sources.staging import Staging, side_by_side
 from starmart.sources.tables import ParquetStore, count_tables
 from starmart.sources.versions import VersionedStore
 
@@ -66,7 +66,7 @@ def _stored_star(spark: SparkSession, sf_dir: str, buckets: int = 0) -> ParquetS
 
 
 def csv_ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales records as CSV text in nested folders, beside a file that is not theirs."""
+    """The sales records as compressed CSV text in nested folders, beside a file that is not theirs."""
     wide = wide_sales(spark, sf_dir)
     layout = subset(RAW, wide.columns)
     root = Staging(spark).path("csv")
@@ -79,9 +79,10 @@ def csv_ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         F.year("sale_date").alias("folder"),
     )
-    text.write.partitionBy("folder").options(header=True, quote='"', escape='"').csv(root)
+    with side_by_side(spark):
+        text.write.partitionBy("folder").options(header=True, quote='"', escape='"', compression="lz4").csv(root)
     spark.range(1).select(F.lit("not a sales file").alias("value")).write.text(f"{root}/notes")
-    return plain(load_sales(spark, root, "part-*.csv", layout).select(*layout.names))
+    return plain(load_sales(spark, root, "part-*.csv.lz4", layout).select(*layout.names))
 
 
 def normalize_strings_query(spark: SparkSession, sf_dir: str) -> DataFrame:

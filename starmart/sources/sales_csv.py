@@ -24,6 +24,7 @@ _ROW_TEXT = "_malformed_text"
 
 SMALL_FILE = 256 * 1024  # bytes up to which a whole file is read for its first line
 HEADERS = 1_000  # different first lines that the driver takes
+COMPRESSED = r"\.(gz|bz2|lz4|snappy|zst)$"  # names of files that only a text scan unpacks
 _WHOLE = str(1 << 40)  # bytes of a scan's task, so that a file is a task
 
 
@@ -125,14 +126,15 @@ def _literal(path: str) -> str:
 
 
 def small_first_lines(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """(``path``, ``line``) of the files of up to ``SMALL_FILE`` bytes, many of them to a task."""
+    """(``path``, ``line``) of the files of up to ``SMALL_FILE`` bytes, many of them to a task. None that is compressed."""
     files = _below(spark, root, name_glob).format("binaryFile").load(root).where(F.col("length") <= SMALL_FILE)
+    files = files.where(~F.col("path").rlike(COMPRESSED))
     line = F.regexp_extract(F.col("content").cast("string"), r"^\x{FEFF}?([^\r\n]*)", 1)
     return files.select("path", line.alias("line"))
 
 
 def large_first_lines(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """The same of the larger files, each a task that stops after the first rows.
+    """The same of the larger and the compressed files, each a task that stops after the first rows.
 
     The scan belongs to a session of its own, in which a file is not split or joined with others.
     """
@@ -140,7 +142,8 @@ def large_first_lines(spark: SparkSession, root: str, name_glob: str) -> DataFra
     for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         session.conf.set(name, _WHOLE)
     session.conf.unset("spark.sql.files.maxPartitionNum")
-    scan = _below(session, root, name_glob).text(root).where(F.col("_metadata.file_size") > SMALL_FILE)
+    large = (F.col("_metadata.file_size") > SMALL_FILE) | F.col("_metadata.file_path").rlike(COMPRESSED)
+    scan = _below(session, root, name_glob).text(root).where(large)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

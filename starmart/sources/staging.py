@@ -4,10 +4,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+FOLDERS = 16  # files that a task of a partitioned write may hold open
+
+
+@contextmanager
+def side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes keep the files of up to ``FOLDERS`` folders open in a task, and sort only rows of further ones.
+
+    Otherwise a task sorts all of its rows by folder, and spills them.
+    """
+    before = spark.conf.get(_WRITERS, None)
+    spark.conf.set(_WRITERS, str(FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_WRITERS) if before is None else spark.conf.set(_WRITERS, before)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,12 +56,12 @@ class Staging:
         """A new folder, whatever else has the same name."""
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         """Run ``df`` once; later reads see exactly these rows, column by column."""
-        return self.keep_at(df, self.path(name))
+        return self.keep_at(df, self.path(name), compression)
 
-    def keep_at(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.parquet(path)
+    def keep_at(self, df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, path: str | None = None) -> None:

@@ -202,3 +202,12 @@ def test_empty_files_and_too_many_headers(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sales_csv, "HEADERS", 1)
     with pytest.raises(ValueError, match="more than 1 different"):
         read_sales_csv(spark, str(tmp_path))
+
+
+def test_compressed_files_are_read_like_others(spark, tmp_path):
+    rows = [(i, i % 7) for i in range(200)]
+    frame = spark.createDataFrame(rows, "id long, sale_quantity int").repartition(2)
+    frame.write.options(header=True, compression="lz4").csv(str(tmp_path / "in"))
+    layout = subset(RAW, ["sale_id", "sale_quantity"])
+    found = load_sales(spark, str(tmp_path / "in"), "part-*.csv.lz4", layout)
+    assert sorted(map(tuple, found.select(*layout.names).collect())) == rows

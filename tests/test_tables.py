@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from starmart.contracts import MARTS, RAW, STAR, contract
 from starmart.sources import staging as staging_module
 from starmart.sources.settings import mart_database, source_root, star_database
-from starmart.sources.staging import Staging, shared_folder
+from starmart.sources.staging import FOLDERS, Staging, shared_folder, side_by_side
 from starmart.sources.tables import JdbcStore, ParquetStore, at_once, count_tables
 
 SCHEMA = contract("long: product_key\ntext: product_name")
@@ -204,3 +204,16 @@ def test_a_table_is_created_before_it_is_written(spark, monkeypatch):
     df = spark.range(4).select(F.col("id").alias("product_key"), *[F.lit(None).alias(n) for n in MARTS["mart_product_quality"].names[1:]])
     assert mart_database(spark, {}).write(df, "mart_product_quality", MARTS["mart_product_quality"]) == 4
     assert done == ["CREATE TABLE IF NOT EXISTS mart_product_quality", ("mart_product_quality", "true")]
+
+
+def test_partitioned_writes_keep_their_files_open(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), side_by_side(spark):
+        assert spark.conf.get(name) == str(FOLDERS)
+        raise RuntimeError
+    assert spark.conf.get(name) == before
+    rows = [(i, i % (2 * FOLDERS)) for i in range(500)]
+    with side_by_side(spark):  # more folders than files may be open
+        spark.createDataFrame(rows, "id long, folder int").write.partitionBy("folder").parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select("id", "folder").collect())) == rows
