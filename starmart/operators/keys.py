@@ -68,7 +68,7 @@ def assign_dense_key(df: DataFrame, order: Sequence[str], out: str, staging: Sta
         .sortWithinPartitions(*ascending)
         .withColumn(slot, F.monotonically_increasing_id())
     )
-    placed = staging.keep(placed, out).withColumn(ranged, F.shiftright(slot, _POSITION_BITS))
+    placed = staging.keep(placed, out, compression="zstd").withColumn(ranged, F.shiftright(slot, _POSITION_BITS))
     if source:
         staging.drop(source)
     before = Window.orderBy(ranged).rowsBetween(Window.unboundedPreceding, -1)

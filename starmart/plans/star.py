@@ -29,7 +29,7 @@ _LOOKED_UP = {"dim_stores": "store_key", "dim_suppliers": "supplier_key"}
 
 def stage_records(df: DataFrame, staging: Staging) -> DataFrame:
     """Sales records stored once, with numbers to scatter them by."""
-    return staging.keep(with_spread(df), "raw")
+    return staging.keep(with_spread(df), "raw", compression="zstd")
 
 
 class Star:
@@ -44,6 +44,7 @@ class Star:
         self.staging = staging
         self.layout = layout.within(raw.columns)
         self._members: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     def members(self, name: str) -> DataFrame:
         """A dimension, with the number of sales per member where lookups use it."""
@@ -51,6 +52,12 @@ class Star:
             self._members[name] = self._build(name)
         return self._members[name]
 
+    def looked_up(self, name: str) -> DataFrame:
+        """``members``, stored once: Spark then knows the size, and does not shuffle the sales for a small table."""
+        if name not in self._stored:
+            self._stored[name] = self.staging.keep(self.members(name), name)
+        return self._stored[name]
+
     def _build(self, name: str) -> DataFrame:
         raw, layout = self.raw, self.layout
         match name:
@@ -82,7 +89,7 @@ class Star:
         """The fact, or some columns of it with no more work than they need."""
         everything = "sale_key" in columns
         needed = [name for name, key in _LOOKED_UP.items() if everything or key in columns]
-        dims = at_once({name: partial(self.members, name) for name in needed})
+        dims = at_once({name: partial(self.looked_up, name) for name in needed})
         fact = build_fact(self.raw, dims, self.layout.store_key, self.layout.suppliers, self.staging, columns)
         typed = subset(STAR["fact_sales"], columns)
         return project_to(fact, T.StructType([*typed.fields, *[f for f in fact.schema.fields if f.name == SPREAD]]))
