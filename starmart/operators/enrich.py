@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starmart.contracts import DIMENSION_KEYS
 from starmart.operators.keys import SPREAD, frequent_rows, lookup
@@ -57,6 +57,22 @@ def attach(
     return lookup(rows, table, [key], take, frequent=frequent_rows(fact, table, [key]))
 
 
+def _weight(dim: DataFrame, key: str, take: list[str], broadcast_bytes: int) -> tuple[int, int]:
+    """Joins that shuffle come first, narrow ones before wide ones, so that no row is shuffled with more than it must.
+
+    Dimensions that Spark's own size check may still broadcast come after those that it cannot, and last those
+    that are broadcast in any case.
+    """
+    size = estimated_bytes(dim.select(key, *take))
+    own = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    kinds = dim.schema
+    return (2 if size <= broadcast_bytes else 1 if size <= own else 0), sum(_wide(kinds[c].dataType) for c in take)
+
+
+def _wide(kind: T.DataType) -> int:
+    return 20 if isinstance(kind, T.StringType) else 8
+
+
 def enrich(
     fact: DataFrame,
     dims: Mapping[str, DataFrame],
@@ -88,12 +104,14 @@ def enrich(
     rows = fact.select(*[c for c in fact.columns if c in sources or c in keys or c == SPREAD])
     if "sale_key" in fact.columns:  # unique and stored, so it scatters rows best
         rows = fact.select(*rows.columns, F.col("sale_key").alias(SPREAD))
+    joins, given = [], set(rows.columns)
     for name, key in DIMENSION_KEYS.items():
-        if name not in dims:
-            continue
-        take = [c for c in dims[name].columns if c in sources and c not in rows.columns]
+        take = [c for c in dims[name].columns if c in sources and c not in given] if name in dims else []
+        given.update(take)
         if take:
-            rows = attach(rows, fact, dims[name], key, take, broadcast_bytes)
+            joins.append((dims[name], key, take))
+    for dim, key, take in sorted(joins, key=lambda join: _weight(*join, broadcast_bytes)):
+        rows = attach(rows, fact, dim, key, take, broadcast_bytes)
     return rows.select(*[_enriched_column(c, exact) for c in wanted])
 
 

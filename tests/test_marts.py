@@ -167,3 +167,45 @@ def test_large_dimensions_add_the_same_to_the_plan(spark, tmp_path):
     steps = {b - a for a, b in zip(reads, reads[1:])}
     assert len(steps) == 1 and max(steps) <= 2
     assert joined.count() == 100 and joined.where("of_dim_dates IS NULL").isEmpty()
+
+
+def test_wide_joins_come_last(spark, staging, no_broadcast):
+    """A join that shuffles gets narrow rows, a broadcast needs none, and the order changes no row."""
+    tables = "/root/testdata/sf0.001"
+    from starmart.plans.wide import TABLES, WIDE_SQL, table, wide_sales
+
+    plain = spark.sql(WIDE_SQL, **{name: table(spark, tables, name) for name in TABLES})
+    wide = wide_sales(spark, tables)
+    assert wide.columns == plain.columns and wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty()
+    steps = wide._jdf.queryExecution().executedPlan().toString()
+    line = lambda word: next(i for i, x in enumerate(steps.splitlines()) if word in x)
+    assert line("Join [l_suppkey") < line("Join [l_partkey") < line("Join [l_orderkey") < line("Join [o_custkey")  # outermost first
+
+
+def test_large_dimensions_are_joined_before_rows_grow(spark, staging):
+    """Those too large for Spark's size check first, so that their shuffles carry no text of the others."""
+    rows = [(i, i, 20200101, 1) for i in range(4000)]
+    fact = staging.keep(spark.createDataFrame(rows, "sale_key long, customer_key long, date_key int, store_key long"), "fact")
+    text = F.sha2(F.col("customer_key").cast("string"), 256)
+    dims = {
+        "dim_customers": staging.keep(fact.select("customer_key", *[text.alias(f"customer_{c}_name") for c in ("first", "last")]), "c"),
+        "dim_stores": staging.keep(spark.createDataFrame([(1, "a")], "store_key long, store_name string"), "s"),
+        "dim_dates": staging.keep(spark.createDataFrame([(20200101, 2020)], "date_key int, year_num int"), "d"),
+    }
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "20000")
+    try:
+        joined = enrich(fact, dims, broadcast_bytes=0)
+        steps = joined._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.set(name, before)
+    at = [next(i for i, x in enumerate(steps) if x.count(f"{c}#") and "Join LeftOuter" in x and "_few_" in x) for c in ("store_key", "date_key", "customer_key")]
+    assert at == sorted(at)  # outermost first
+    assert joined.count() == 4000 and joined.where("store_name = 'a' AND year_num = 2020 AND customer_last_name IS NOT NULL").count() == 4000
+
+
+def test_lookups_do_not_shuffle_sales_for_small_tables(spark, staging):
+    star = Star(typed_sales(spark, *_sales(3, 40)), staging)
+    plan = star.fact(["store_key", "supplier_key"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
