@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from starmart.llm.shared import Staging, returned
+from starmart.llm.shared import Staging, few_at_once, returned
 
 LENGTH = 2048  # tokens of a sequence
 END = 0  # id that ends a document
 OPEN_BINS = 8_192  # sequences that a task keeps open at most
 TASK_PIECES = 20_000  # pieces that a packing task gets, about
 CHARS = 1_000_000  # of texts whose pieces are returned together, about
+TEXTS = 256  # that Spark reads and sends to a worker together at most
 TOGETHER = 1_000  # words that the slower library encodes in one text
 GAP = 10_000  # white space in a row that tiktoken's split is not trusted with
 # Letters that all libraries have known for long, so that they agree what a letter is.
@@ -185,7 +186,7 @@ def pieces(docs: DataFrame, tokenizer: str, keep_ids: bool = True, length: int =
                     doc_ids, found, chars = [], [], 0
             if found:
                 yield batch_of(doc_ids, found)
-            returned()
+        returned()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, kind)
@@ -251,7 +252,8 @@ def packed(found: DataFrame, staging: Staging, length: int = LENGTH) -> DataFram
     """
     rows = Observation()
     numbered = found.withColumn("_row", F.monotonically_increasing_id()).observe(rows, F.count(F.lit(1)).alias("n"))
-    stored = staging.keep(numbered, "pieces")
+    with few_at_once(found.sparkSession, TEXTS):
+        stored = staging.keep(numbered, "pieces")
     tasks = max(1, -(-rows.get["n"] // TASK_PIECES))
     names = [f for f in stored.schema.fields if f.name not in ("_row", "ids")]
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names) + ", _row long, sequence_id long, offset long"

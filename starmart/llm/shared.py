@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -128,6 +129,26 @@ def returned() -> None:
         trim(0)
 
 
+_BATCHES = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@contextmanager
+def few_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs meanwhile reads files and sends rows to Python workers in batches of ``rows`` at most.
+
+    Spark keeps a task's batch in one piece, as read and as sent, whatever its texts have. A smaller batch that the session asks for stays.
+    """
+    before = {name: spark.conf.get(name, None) for name in _BATCHES}
+    try:
+        for name in _BATCHES:
+            asked = int(spark.conf.get(name))
+            spark.conf.set(name, str(rows if asked <= 0 else min(rows, asked)))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
 

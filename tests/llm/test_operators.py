@@ -11,6 +11,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -490,6 +491,39 @@ def test_packing(docs, nothing):
     assert packing.pack_documents(nothing, path).count() == 0
 
 
+def test_texts_come_to_the_tokenizer_a_few_at_a_time(spark, staging, tmp_path):
+    """However many a file holds: a batch is one block of memory in the reader, in the sender and in the worker."""
+    spark.range(3000).selectExpr("id AS doc_id", "repeat('word ', 20) AS text").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    settings = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = [spark.conf.get(name) for name in settings]
+
+    def measured(batches):
+        for batch in batches:
+            ones = pa.array([1] * batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "length": ones, "together": pa.array([batch.num_rows] * batch.num_rows, pa.int64())})
+
+    found = spark.read.parquet(f"{tmp_path}/docs").mapInArrow(measured, "doc_id long, length long, together long")
+    out = packing.packed(found, staging, 10).collect()
+    assert sorted(r["doc_id"] for r in out) == list(range(3000))
+    assert max(r["together"] for r in out) <= 500
+    assert [spark.conf.get(name) for name in settings] == before
+
+
+def test_batches_are_never_enlarged_and_set_back(spark):
+    read, sent = shared._BATCHES
+    spark.conf.set(sent, "7")
+    try:
+        with pytest.raises(ZeroDivisionError), shared.few_at_once(spark, 50):
+            assert [spark.conf.get(name) for name in (read, sent)] == ["50", "7"]
+            1 / 0
+        assert spark.conf.get(sent) == "7" and spark.conf.get(read, None) is None
+        spark.conf.set(sent, "0")  # no bound
+        with shared.few_at_once(spark, 50):
+            assert spark.conf.get(sent) == "50"
+    finally:
+        spark.conf.unset(sent)
+
+
 def test_bins_close_the_fullest_first():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(n) for n in (6, 7, 9)] == [(0, 0), (1, 0), (2, 0)]  # 9 closes 7's bin, the fullest open
