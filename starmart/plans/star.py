@@ -18,7 +18,7 @@ from starmart.operators.enrich import DIMENSION_KEYS
 from starmart.operators.fact import FACT_COLUMNS, build_fact
 from starmart.operators.keys import SPREAD, with_spread
 from starmart.plans.layout import FULL, StarLayout
-from starmart.sources.staging import Staging
+from starmart.sources.staging import Staging, shuffles_freed
 from starmart.sources.tables import JdbcStore, ParquetStore, at_once
 
 DIMENSIONS = tuple(DIMENSION_KEYS)
@@ -29,7 +29,8 @@ _LOOKED_UP = {"dim_stores": "store_key", "dim_suppliers": "supplier_key"}
 
 def stage_records(df: DataFrame, staging: Staging) -> DataFrame:
     """Sales records stored once, with numbers to scatter them by."""
-    return staging.keep(with_spread(df), "raw", compression="zstd")
+    with shuffles_freed(staging.spark):
+        return staging.keep(with_spread(df), "raw", compression="zstd")
 
 
 class Star:
@@ -101,8 +102,9 @@ class Star:
             frame = self.members(name)
             return store.write(frame, name, subset(STAR[name], frame.columns))
 
-        written = at_once({name: partial(write, name) for name in DIMENSIONS})
-        written["fact_sales"] = store.write(self.fact(), "fact_sales", STAR["fact_sales"])
+        with shuffles_freed(self.staging.spark):
+            written = at_once({name: partial(write, name) for name in DIMENSIONS})
+            written["fact_sales"] = store.write(self.fact(), "fact_sales", STAR["fact_sales"])
         return written
 
 

@@ -56,9 +56,11 @@ def _star(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
 
 
 def _stored_star(spark: SparkSession, sf_dir: str, buckets: int = 0) -> ParquetStore:
+    """A star that is stored; what it was made from is deleted."""
     star = _star(spark, sf_dir)
-    store = ParquetStore(spark, star.staging.path("star"), buckets)
+    store = ParquetStore(spark, Staging(spark).path("star"), buckets)
     star.store(store)
+    star.staging.drop()
     return store
 
 

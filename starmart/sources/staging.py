@@ -11,21 +11,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 FOLDERS = 16  # files that a task of a partitioned write may hold open
 
 
+@contextmanager
+def _held(spark: SparkSession, setting: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 @contextmanager
 def side_by_side(spark: SparkSession) -> Iterator[None]:
     """Partitioned writes keep the files of up to ``FOLDERS`` folders open in a task, and sort only rows of further ones.
 
     Otherwise a task sorts all of its rows by folder, and spills them.
     """
-    before = spark.conf.get(_WRITERS, None)
-    spark.conf.set(_WRITERS, str(FOLDERS))
-    try:
+    with _held(spark, _WRITERS, str(FOLDERS)):
+        yield
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Writes that end in the block delete the files of their shuffles.
+
+    Otherwise these lie on the disks until the driver's JVM happens to collect its garbage, those of all steps at once.
+    """
+    with _held(spark, _CLEANUP, "true"):
         yield
-    finally:
-        spark.conf.unset(_WRITERS) if before is None else spark.conf.set(_WRITERS, before)
 
 
 def shared_folder(spark: SparkSession) -> str:
