@@ -43,7 +43,13 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def attach(
-    rows: DataFrame, fact: DataFrame, dim: DataFrame, key: str, take: list[str], broadcast_bytes: int = BROADCAST_BYTES
+    rows: DataFrame,
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    take: list[str],
+    broadcast_bytes: int = BROADCAST_BYTES,
+    spread: str = SPREAD,
 ) -> DataFrame:
     """Left join a dimension to ``rows`` on its key.
 
@@ -54,7 +60,7 @@ def attach(
     table = dim.select(key, *take)
     if estimated_bytes(table) <= broadcast_bytes:
         return rows.join(F.broadcast(table), key, "left")
-    return lookup(rows, table, [key], take, frequent=frequent_rows(fact, table, [key]))
+    return lookup(rows, table, [key], take, frequent=frequent_rows(fact, table, [key]), spread=spread)
 
 
 def _weight(dim: DataFrame, key: str, take: list[str], broadcast_bytes: int) -> tuple[int, int]:
@@ -101,9 +107,8 @@ def enrich(
         if name in sources:
             sources.update(parts)
     keys = [k for name, k in DIMENSION_KEYS.items() if name in dims and sources & set(dims[name].columns) - {k}]
-    rows = fact.select(*[c for c in fact.columns if c in sources or c in keys or c == SPREAD])
-    if "sale_key" in fact.columns:  # unique and stored, so it scatters rows best
-        rows = fact.select(*rows.columns, F.col("sale_key").alias(SPREAD))
+    spread = "sale_key" if "sale_key" in fact.columns else SPREAD  # unique and stored, so it scatters rows best
+    rows = fact.select(*[c for c in fact.columns if c in sources or c in keys or c == spread])
     joins, given = [], set(rows.columns)
     for name, key in DIMENSION_KEYS.items():
         take = [c for c in dims[name].columns if c in sources and c not in given] if name in dims else []
@@ -111,7 +116,7 @@ def enrich(
         if take:
             joins.append((dims[name], key, take))
     for dim, key, take in sorted(joins, key=lambda join: _weight(*join, broadcast_bytes)):
-        rows = attach(rows, fact, dim, key, take, broadcast_bytes)
+        rows = attach(rows, fact, dim, key, take, broadcast_bytes, spread)
     return rows.select(*[_enriched_column(c, exact) for c in wanted])
 
 

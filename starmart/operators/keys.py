@@ -16,6 +16,7 @@ KEY_SEPARATOR = "||"  # fixed value: joins the parts of a composite natural key
 # be no more than FREQUENT such keys, so a table of them is always small
 # enough to broadcast, however large the data is.
 FREQUENT = 1000
+BUCKETS = 16  # buckets that keys are counted in, for each key that may be frequent
 
 # monotonically_increasing_id: partition number above, row position below.
 _POSITION_BITS = 33
@@ -91,10 +92,21 @@ def frequent_members(counted: DataFrame, rows: str, share: int = FREQUENT) -> Da
 
 
 def frequent_rows(left: DataFrame, right: DataFrame, on: Sequence[str], share: int = FREQUENT) -> DataFrame:
-    """The rows of ``right`` whose key holds at least ``1/share`` of the rows of ``left``."""
-    counts = left.select(*on).dropna().groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    keys = frequent_members(counts, "_rows", share).select(*on)
-    return right.join(F.broadcast(keys), list(on), "left_semi")
+    """The rows of ``right`` whose key holds at least ``1/share`` of the rows of ``left``.
+
+    Buckets of keys are counted first. Only keys of buckets that hold as much, mostly none, are counted one by one, so next
+    to nothing is shuffled however many keys there are.
+    """
+    keys = left.select(*on).dropna()
+    total = keys.agg(F.count(F.lit(1)))
+    bucket = F.pmod(F.xxhash64(*on), F.lit(BUCKETS * share))
+
+    def at_least(counted: DataFrame) -> DataFrame:
+        return counted.agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") * share >= total.scalar()).drop("_rows")
+
+    full = at_least(keys.groupBy(bucket.alias("_bucket")))
+    some = keys.join(F.broadcast(full), bucket == F.col("_bucket"), "left_semi")
+    return right.join(F.broadcast(at_least(some.groupBy(*on))), list(on), "left_semi")
 
 
 def lookup(
@@ -104,6 +116,7 @@ def lookup(
     take: Sequence[str],
     null_safe: bool = False,
     frequent: DataFrame | None = None,
+    spread: str = SPREAD,
 ) -> DataFrame:
     """Add the columns ``take`` of ``right`` to every row of ``left``.
 
@@ -114,15 +127,15 @@ def lookup(
     ``left``, as ``frequent_members`` or ``frequent_rows`` give them; it is
     broadcast. Rows it answers, and rows that cannot match, carry a scattering
     number in the join key where others carry the key's hash, so the shuffle
-    spreads them evenly. The number is the stored ``SPREAD`` column of ``left``, or
+    spreads them evenly. The number is the stored column ``spread`` of ``left``, or
     else the source partition's number: both are the same on every attempt.
 
     One whole-number key stands for itself instead of its hash. So a ``right`` that is stored in buckets
-    of the key stays where it is.
+    of the key stays where it is, and the key is not shuffled twice: it is told from what the row was routed by.
     """
 
-    def renamed(df: DataFrame, mark: str, extra: Column) -> DataFrame:
-        return df.select(*[F.col(c).alias(mark + c) for c in [*on, *take]], extra)
+    def renamed(mark: str, *columns: str) -> list[Column]:
+        return [F.col(c).alias(mark + c) for c in columns]
 
     def same_key(mark: str) -> Column:
         pairs = [(F.col(c), F.col(mark + c)) for c in on]
@@ -131,24 +144,28 @@ def lookup(
     rows, settled = left, F.lit(False)
     if not null_safe:
         settled = reduce(or_, [F.col(c).isNull() for c in on])
-    if frequent is not None:
-        few = renamed(frequent, "_few_", F.lit(True).alias("_few"))
+    if frequent is not None:  # one column, so that rows without an answer carry little
+        few = frequent.select(*renamed("_few_", *on), F.struct(*on, *take).alias("_few"))
         rows = rows.join(F.broadcast(few), same_key("_few_"), "left")
         settled = settled | F.col("_few").isNotNull()
 
-    scatter = F.col(SPREAD) if SPREAD in left.columns else F.spark_partition_id()
+    scatter = F.col(spread) if spread in left.columns else F.spark_partition_id()
+    kept = {c: F.col(c) for c in left.columns}
     kind = right.schema[on[0]].dataType
     if len(on) == 1 and not null_safe and kind == left.schema[on[0]].dataType and isinstance(kind, (T.IntegerType, T.LongType)):
         # a settled row may meet the key that its number happens to be, so it is kept from matching
         number = F.pmod(scatter.cast("long"), F.lit(2**31 - 1)).cast(kind)
         route, extra = F.when(settled, number).otherwise(F.col(on[0])), F.lit(None).alias("_all")
-        matches = (F.col("_route") == F.col("_all_" + on[0])) & ~settled
+        matches = (F.col("_route") == F.col("_all_" + on[0])) & ~F.col("_settled")
+        rows = rows.withColumn("_settled", settled)
+        answered = F.lit(None) if frequent is None else F.col("_few")[on[0]]
+        kept[on[0]] = F.when(F.col("_settled"), answered).otherwise(F.col("_route")).alias(on[0])
     else:
         route, extra = F.when(settled, scatter.cast("long")).otherwise(F.xxhash64(*on)), F.xxhash64(*on).alias("_all")
         matches = (F.col("_route") == F.col("_all")) & same_key("_all_")
-    found = rows.withColumn("_route", route).join(renamed(right, "_all_", extra), matches, "left")
-    if frequent is None:
-        taken = [F.col("_all_" + c).alias(c) for c in take]
-    else:
-        taken = [F.when(F.col("_few"), F.col("_few_" + c)).otherwise(F.col("_all_" + c)).alias(c) for c in take]
-    return found.select(*left.columns, *taken)
+    every = right.select(*renamed("_all_", *on, *take), extra)
+    found = rows.withColumn("_route", route).join(every, matches, "left")
+    taken = [F.col("_all_" + c) for c in take]
+    if frequent is not None:
+        taken = [F.when(F.col("_few").isNotNull(), F.col("_few")[c]).otherwise(a) for c, a in zip(take, taken)]
+    return found.select(*kept.values(), *[value.alias(c) for c, value in zip(take, taken)])
