@@ -94,19 +94,16 @@ def frequent_members(counted: DataFrame, rows: str, share: int = FREQUENT) -> Da
 def frequent_rows(left: DataFrame, right: DataFrame, on: Sequence[str], share: int = FREQUENT) -> DataFrame:
     """The rows of ``right`` whose key holds at least ``1/share`` of the rows of ``left``.
 
-    Buckets of keys are counted first. Only keys of buckets that hold as much, mostly none, are counted one by one, so next
-    to nothing is shuffled however many keys there are.
+    Buckets of keys are counted first, ``BUCKETS * share`` of them, whose total one task adds up. Only keys of buckets that hold
+    as much, mostly none, are counted one by one, so next to nothing is shuffled however many keys there are.
     """
     keys = left.select(*on).dropna()
-    total = keys.agg(F.count(F.lit(1)))
-    bucket = F.pmod(F.xxhash64(*on), F.lit(BUCKETS * share))
-
-    def at_least(counted: DataFrame) -> DataFrame:
-        return counted.agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") * share >= total.scalar()).drop("_rows")
-
-    full = at_least(keys.groupBy(bucket.alias("_bucket")))
-    some = keys.join(F.broadcast(full), bucket == F.col("_bucket"), "left_semi")
-    return right.join(F.broadcast(at_least(some.groupBy(*on))), list(on), "left_semi")
+    bucket, rows = F.pmod(F.xxhash64(*on), F.lit(BUCKETS * share)), F.count(F.lit(1)).alias("_rows")
+    counted = keys.groupBy(bucket.alias("_bucket")).agg(rows)
+    full = counted.withColumn("_total", F.sum("_rows").over(Window.partitionBy())).where(F.col("_rows") * share >= F.col("_total"))
+    some = keys.join(F.broadcast(full.drop("_rows")), bucket == F.col("_bucket"))
+    frequent = some.groupBy(*on).agg(rows, F.max("_total").alias("_total")).where(F.col("_rows") * share >= F.col("_total"))
+    return right.join(F.broadcast(frequent.select(*on)), list(on), "left_semi")
 
 
 def lookup(
